@@ -1,0 +1,131 @@
+"""Billing tables derived from an order-history star schema.
+
+Customers hold two policies each, orders are invoices and line items are
+payment attempts. Every rule is a row-wise expression over whole tables (one
+key join for payments, no windows), so deriving the tables never adds a
+shuffle that a hot customer could stall.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lapsewise import schemas as S
+from lapsewise.fixed_values import ACTIVE, CANCELLED, EXPIRED, FAILED, PAID, PAID_LATE
+
+_FIRST_DAY = F.lit("1995-01-01")
+
+
+def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{table}.parquet")
+
+
+def _bucket(policy: Column) -> Column:
+    """0..99, spread over policies; under 24 is cancelled, under 50 active."""
+    return (policy * 7919) % 100
+
+
+def customers(spark: SparkSession, folder: str) -> DataFrame:
+    return _read(spark, folder, "customer").select(
+        F.col("c_custkey").cast("string").alias("customer_id"),
+        F.col("c_nationkey").cast("string").alias("tax_id"),
+        F.split_part("c_name", F.lit("#"), F.lit(1)).alias("c_first_name"),
+        F.split_part("c_name", F.lit("#"), F.lit(2)).alias("c_last_name"),
+    )
+
+
+def policies(spark: SparkSession, folder: str) -> DataFrame:
+    number = F.col("c_custkey") * 2 + F.col("half")
+    start = F.date_add(_FIRST_DAY.cast("date"), ((F.col("n") * 37) % 2000).cast("int"))
+    cancelled_on = F.date_add(F.col("start"), (30 + (F.col("n") * 31) % 300).cast("int"))
+    status = (
+        F.when(_bucket(F.col("n")) < 24, CANCELLED)
+        .when(_bucket(F.col("n")) < 50, ACTIVE)
+        .otherwise(EXPIRED)
+    )
+    frequency = F.element_at(
+        F.array(F.lit("Monthly"), F.lit("Quarterly"), F.lit("Semi-Annual")),
+        (F.col("n") % 3 + 1).cast("int"),
+    )
+    return (
+        _read(spark, folder, "customer")
+        .select("c_custkey", "c_mktsegment", F.explode(F.array(F.lit(0), F.lit(1))).alias("half"))
+        .withColumn("n", number)
+        .withColumn("start", start)
+        .withColumn("status", status)
+        .select(
+            F.col("c_mktsegment").alias("insurance_product"),
+            F.col("c_custkey").cast("string").alias("customer_id"),
+            F.col("n").cast("string").alias("policy_num"),
+            F.col("start").alias("effective_start_date"),
+            F.date_add("start", 365).alias("effective_end_date"),
+            frequency.alias("payment_frequency"),
+            F.col("status").alias("policy_status"),
+            F.when(F.col("status") == CANCELLED, cancelled_on).alias("cancel_date"),
+        )
+    )
+
+
+def _policy_of_order() -> Column:
+    return F.col("o_custkey") * 2 + F.col("o_orderkey") % 2
+
+
+def _arrears() -> Column:
+    return (30 * (1 + F.col("o_orderkey") % 3)).cast("int")
+
+
+def invoices(spark: SparkSession, folder: str) -> DataFrame:
+    day = F.col("o_orderdate").cast("date")
+    return _read(spark, folder, "orders").select(
+        _policy_of_order().cast("string").alias("policy_num"),
+        F.col("o_orderkey").cast("string").alias("invoice_num"),
+        F.lit("Premium").alias("invoice_type"),
+        day.alias("invoice_start_date"),
+        F.date_add(day, 30).alias("invoice_end_date"),
+        _arrears().alias("days_arrears_allowed"),
+        # the day number: same order as numbering the orders 1, 2, 3 by date
+        F.datediff(day, _FIRST_DAY).alias("installment_num"),
+        F.col("o_totalprice").cast("decimal(12,2)").alias("premium"),
+    )
+
+
+def payments(spark: SparkSession, folder: str) -> DataFrame:
+    orders = _read(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    lag = F.pmod(F.datediff("l_shipdate", "o_orderdate"), F.lit(75))
+    failed = (F.col("l_returnflag") == "R") & (
+        (F.col("l_linestatus") == "O") | (_bucket(_policy_of_order()) < 24)
+    )
+    status = F.when(failed, FAILED).when(F.col("lag") > _arrears(), PAID_LATE).otherwise(PAID)
+    return (
+        _read(spark, folder, "lineitem")
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .withColumn("lag", lag)
+        .select(
+            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("transaction_id"),
+            F.col("l_orderkey").cast("string").alias("invoice_num"),
+            F.col("l_extendedprice").cast("decimal(12,2)").alias("premium"),
+            F.date_add(F.col("o_orderdate").cast("date"), F.col("lag")).alias("pay_transaction_date"),
+            status.alias("pay_transaction_status"),
+        )
+    )
+
+
+def hidden_profile(spark: SparkSession, folder: str) -> DataFrame:
+    number = F.col("policy_num").cast("bigint")
+    return policies(spark, folder).select(
+        "policy_num",
+        F.when(F.col("policy_status") == CANCELLED, "churned")
+        .when(number % 2 == 0, "at_risk")
+        .otherwise("good")
+        .alias("hidden_profile"),
+    )
+
+
+def billing_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return {
+        S.CUSTOMER: customers(spark, folder),
+        S.POLICIES: policies(spark, folder),
+        S.INVOICE: invoices(spark, folder),
+        S.PAYHISTORY: payments(spark, folder),
+    }
