@@ -27,11 +27,12 @@ def ratio_or_zero(part: Column, whole: Column) -> Column:
 
 def percent(part: Column, whole: Column) -> Column:
     """Percentage to one decimal, halves to even."""
-    return F.bround(part / whole * 100, 1)
+    return half_even(part / whole * 100, 1)
 
 
 def half_even(value: Column, places: int) -> Column:
-    return F.bround(value, places)
+    """Round a double as array libraries do: scale, nearest even integer, scale back."""
+    return F.rint(value * 10.0**places) / 10.0**places
 
 
 def headline(text: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lapsewise import schemas as S
 from lapsewise.fixed_values import ACTIVE, CANCELLED, EXPIRED, FAILED, PAID, PAID_LATE
 
-_FIRST_DAY = F.lit("1995-01-01")
+_FIRST_DAY = "1995-01-01"
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -37,7 +37,7 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
 
 def policies(spark: SparkSession, folder: str) -> DataFrame:
     number = F.col("c_custkey") * 2 + F.col("half")
-    start = F.date_add(_FIRST_DAY.cast("date"), ((F.col("n") * 37) % 2000).cast("int"))
+    start = F.date_add(F.lit(_FIRST_DAY).cast("date"), ((F.col("n") * 37) % 2000).cast("int"))
     cancelled_on = F.date_add(F.col("start"), (30 + (F.col("n") * 31) % 300).cast("int"))
     status = (
         F.when(_bucket(F.col("n")) < 24, CANCELLED)
@@ -85,7 +85,7 @@ def invoices(spark: SparkSession, folder: str) -> DataFrame:
         F.date_add(day, 30).alias("invoice_end_date"),
         _arrears().alias("days_arrears_allowed"),
         # the day number: same order as numbering the orders 1, 2, 3 by date
-        F.datediff(day, _FIRST_DAY).alias("installment_num"),
+        F.datediff(day, F.lit(_FIRST_DAY)).alias("installment_num"),
         F.col("o_totalprice").cast("decimal(12,2)").alias("premium"),
     )
 
