@@ -52,24 +52,29 @@ def why_flagged(factors: Column) -> Column:
     return F.when(F.size(reasons) == 0, F.lit("-")).otherwise(F.array_join(reasons, "; "))
 
 
-def top_factors(
-    contributions: Column, names: list[str], n: int = TOP_FACTORS, places: int | None = 4
-) -> Column:
-    """The ``n`` largest contributions by magnitude; ties keep feature order.
+def strongest(contributions: Column, names: list[str], n: int) -> Column:
+    """Positions and values of the ``n`` largest contributions by magnitude, in order.
 
-    ``contributions`` is an ``array<double>`` aligned with ``names``. Values are
-    rounded after ranking and before anyone tests their sign.
+    ``contributions`` is an ``array<double>`` aligned with ``names``; ties keep
+    that order. The result is ``array<struct<rank, i, v>>``.
     """
     labelled = F.zip_with(
         F.sequence(F.lit(0), F.lit(len(names) - 1)),
         contributions,
         lambda i, v: F.struct((-F.abs(v)).alias("rank"), i.alias("i"), v.alias("v")),
     )
-    ranked = F.slice(F.array_sort(labelled), 1, n)
-    labels = F.array(*[F.lit(name) for name in names])
+    return F.slice(F.array_sort(labelled), 1, n)
+
 
-    def factor(entry: Column) -> Column:
-        value = entry["v"] if places is None else half_even(entry["v"], places)
-        return F.struct(F.get(labels, entry["i"]).alias("feature"), value.alias("value"))
+def name_at(names: list[str], position: Column) -> Column:
+    return F.get(F.array(*[F.lit(name) for name in names]), position)
 
-    return F.transform(ranked, factor)
+
+def top_factors(contributions: Column, names: list[str], n: int = TOP_FACTORS) -> Column:
+    """The factor list of a score: rounded after ranking, before anyone tests a sign."""
+    return F.transform(
+        strongest(contributions, names, n),
+        lambda entry: F.struct(
+            name_at(names, entry["i"]).alias("feature"), half_even(entry["v"], 4).alias("value")
+        ),
+    )

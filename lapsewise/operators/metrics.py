@@ -1,7 +1,8 @@
 """Evaluation of a probability column against a 0/1 label.
 
-Everything that depends on score order works on distinct scores with their
-label counts, so tied scores are one row and the order is never in one task.
+Every metric is a function of the distinct scores and their label counts
+(:func:`score_counts`): tied scores are one row, and the table is worth storing
+once when several metrics follow.
 """
 
 from __future__ import annotations
@@ -17,31 +18,34 @@ from lapsewise.operators.ordering import running_totals
 
 DEFAULT_THRESHOLDS = [i / 20 for i in range(1, 20)]
 
+CELLS = ["true_negative", "false_positive", "false_negative", "true_positive"]
+
 
 def score_counts(scored: DataFrame, label: str = "y", score: str = "p") -> DataFrame:
-    """One row per distinct score: churned and kept rows with that score."""
+    """One row per distinct score: churned (``pos``) and kept (``neg``) rows with it."""
     positive = F.col(label) == 1
     return scored.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count(F.when(positive, 1)).alias("pos"), F.count(F.when(~positive, 1)).alias("neg")
     )
 
 
-def _cells(threshold: Column, label: str, score: str) -> Column:
-    flagged = F.col(score) >= threshold
-    positive = F.col(label) == 1
+def _cells(threshold: float) -> Column:
+    flagged = F.col("score") >= F.lit(float(threshold))
+
+    def rows(condition: Column, count: str) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col(count))), F.lit(0).cast("bigint"))
+
     return F.struct(
-        F.count(F.when(~flagged & ~positive, 1)).alias("true_negative"),
-        F.count(F.when(flagged & ~positive, 1)).alias("false_positive"),
-        F.count(F.when(~flagged & positive, 1)).alias("false_negative"),
-        F.count(F.when(flagged & positive, 1)).alias("true_positive"),
+        rows(~flagged, "neg").alias("true_negative"),
+        rows(flagged, "neg").alias("false_positive"),
+        rows(~flagged, "pos").alias("false_negative"),
+        rows(flagged, "pos").alias("true_positive"),
     )
 
 
-def confusion_counts(
-    scored: DataFrame, threshold: float = DEFAULT_THRESHOLD, label: str = "y", score: str = "p"
-) -> DataFrame:
+def confusion_counts(counts: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """One row with all four cells; flagged means ``score >= threshold``."""
-    return scored.agg(_cells(F.lit(float(threshold)), label, score).alias("c")).select("c.*")
+    return counts.agg(_cells(threshold).alias("c")).select("c.*")
 
 
 def _rates() -> list[Column]:
@@ -53,19 +57,19 @@ def _rates() -> list[Column]:
     ]
 
 
-def ranking_quality(scored: DataFrame, label: str = "y", score: str = "p") -> DataFrame:
+def ranking_quality(counts: DataFrame) -> DataFrame:
     """One row: ``roc_auc`` (ties count half) and ``pr_auc`` (step-sum average precision).
 
     ROC-AUC is NULL unless both classes occur; average precision is 0 without positives.
     """
-    counts = running_totals(score_counts(scored, label, score), ["score"], ["pos", "neg"])
+    ranked = running_totals(counts, ["score"], ["pos", "neg"])
     totals = counts.agg(
         F.struct(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).alias("t")
     ).scalar()
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     # rows scored at least as high as this score
     pos_at, neg_at = F.col("all.pos") - F.col("pos_before"), F.col("all.neg") - F.col("neg_before")
-    summed = counts.withColumn("all", totals).agg(
+    summed = ranked.withColumn("all", totals).agg(
         F.sum(pos * (F.col("neg_before") + neg / 2)).alias("pairs_won"),
         F.sum(pos * pos_at / (pos_at + neg_at)).alias("precision_steps"),
         F.sum(pos).alias("n_pos"),
@@ -80,58 +84,31 @@ def ranking_quality(scored: DataFrame, label: str = "y", score: str = "p") -> Da
     )
 
 
-def _with_ranking(table: DataFrame, scored: DataFrame, label: str, score: str) -> DataFrame:
-    """Attach the threshold-free metrics, computed once for all rows."""
-    quality = ranking_quality(scored, label, score)
-    return table.withColumn(
-        "_q", quality.select(F.struct("roc_auc", "pr_auc").alias("q")).scalar()
-    ).select(*table.columns, "_q.roc_auc", "_q.pr_auc")
-
-
-def compute_metrics(
-    scored: DataFrame, threshold: float = DEFAULT_THRESHOLD, label: str = "y", score: str = "p"
-) -> DataFrame:
-    """One row: precision, recall and F1 at ``threshold``, ROC-AUC and average precision."""
-    at_threshold = confusion_counts(scored, threshold, label, score).select(
-        F.lit(float(threshold)).alias("threshold"), *_rates()
-    )
-    return _with_ranking(at_threshold, scored, label, score)
-
-
-def threshold_sweep(
-    scored: DataFrame,
-    thresholds: Sequence[float] | None = None,
-    label: str = "y",
-    score: str = "p",
-) -> DataFrame:
+def threshold_sweep(counts: DataFrame, thresholds: Sequence[float] | None = None) -> DataFrame:
     """Metrics and confusion counts per threshold, in the order given.
 
-    One pass: each task counts every threshold's cells, so the data is neither
-    repeated per threshold nor shuffled beyond one row per task.
+    One pass: each task sums every threshold's cells, so the scores are neither
+    repeated per threshold nor shuffled beyond one row per task. The
+    threshold-free metrics are computed once and attached to every row.
     """
     points = [float(t) for t in (DEFAULT_THRESHOLDS if thresholds is None else thresholds)]
     if not points:
         raise ValueError("at least one threshold is needed")
-    rows = scored.agg(
-        F.array(
-            *[F.struct(F.lit(t).alias("threshold"), _cells(F.lit(t), label, score).alias("c")) for t in points]
-        ).alias("points")
+    swept = counts.agg(
+        F.array(*[F.struct(F.lit(t).alias("threshold"), _cells(t).alias("c")) for t in points]).alias("points")
     ).select(F.posexplode("points").alias("position", "point"))
-    table = rows.select("position", "point.threshold", "point.c.*")
-    swept = _with_ranking(table.select("*", *_rates()), scored, label, score)
-    return swept.select(
-        "position",
-        "threshold",
-        "precision",
-        "recall",
-        "f1",
-        "roc_auc",
-        "pr_auc",
-        "true_negative",
-        "false_positive",
-        "false_negative",
-        "true_positive",
-    ).orderBy("position")
+    quality = ranking_quality(counts).select(F.struct("roc_auc", "pr_auc").alias("q")).scalar()
+    return (
+        swept.select("position", "point.threshold", "point.c.*")
+        .withColumn("q", quality)
+        .select("position", "threshold", *_rates(), "q.roc_auc", "q.pr_auc", *CELLS)
+        .orderBy("position")
+    )
+
+
+def compute_metrics(counts: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
+    """One row: precision, recall and F1 at ``threshold``, ROC-AUC and average precision."""
+    return threshold_sweep(counts, [threshold]).drop("position", *CELLS)
 
 
 def with_expected_cost(
@@ -200,15 +177,12 @@ def score_quantiles(counts: DataFrame, n: int) -> DataFrame:
     )
 
 
-def calibration_table(
-    scored: DataFrame, n_bins: int = 10, label: str = "y", score: str = "p"
-) -> DataFrame:
+def calibration_table(counts: DataFrame, n_bins: int = 10) -> DataFrame:
     """Mean prediction against observed rate, per non-empty quantile bin.
 
     A score belongs to the bin numbered by the inner edges strictly below it,
     so repeated edges merge their bins.
     """
-    counts = score_counts(scored, label, score)
     inner = score_quantiles(counts, n_bins).where(F.col("i").between(1, n_bins - 1))
     edges = inner.agg(F.sort_array(F.collect_list("edge"))).scalar()
     n_rows = F.col("pos") + F.col("neg")

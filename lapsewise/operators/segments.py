@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -16,6 +17,7 @@ from pyspark.storagelevel import StorageLevel
 from lapsewise.fixed_values import SEED, SEGMENT_NAMES
 from lapsewise.schemas import BEHAVIOUR_FEATURES
 
+_ROWS_PER_TASK = 50_000  # one pass over fewer rows is shorter than starting a task
 _RAW, _SCALED = "_behaviour", "_behaviour_scaled"
 
 
@@ -24,18 +26,22 @@ def fit_segments(
 ) -> PipelineModel:
     """K-means on the standardised behaviour columns, best of ``starts`` seeds.
 
-    Label and status are never used. The starts share one cached input and run
-    as concurrent jobs.
+    Label and status are never used. ``table`` should be stored. The starts
+    share one cached input and run as concurrent jobs.
     """
     assembler = VectorAssembler(inputCols=BEHAVIOUR_FEATURES, outputCol=_RAW, handleInvalid="error")
     assembled = assembler.transform(table).select(_RAW)
     scaler = StandardScaler(inputCol=_RAW, outputCol=_SCALED, withMean=True).fit(assembled)
-    scaled = scaler.transform(assembled).select(_SCALED).persist(StorageLevel.MEMORY_AND_DISK)
+    n_rows = table.count()
+    if n_rows < k:
+        raise ValueError(f"{n_rows} policies cannot form {k} segments")
+    scaled = (
+        scaler.transform(assembled)
+        .select(_SCALED)
+        .coalesce(math.ceil(n_rows / _ROWS_PER_TASK))
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
     try:
-        n_rows = scaled.count()
-        if n_rows < k:
-            raise ValueError(f"{n_rows} policies cannot form {k} segments")
-
         @inheritable_thread_target(table.sparkSession)
         def fit(start: int):
             return KMeans(

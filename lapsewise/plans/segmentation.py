@@ -14,7 +14,7 @@ PROFILES = ["at_risk", "churned", "good"]
 
 
 def build_segments(tables: Tables, k: int = 3, seed: int = SEED) -> DataFrame:
-    stored = durable(build_feature_table(tables), "features")
+    stored = durable(build_feature_table(tables), "features", key="policy_num")
     return label_segments(assign_segments(fit_segments(stored, k, seed), stored))
 
 

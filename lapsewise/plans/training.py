@@ -35,7 +35,7 @@ def split_stored(
     table: DataFrame, test_share: float = TEST_SHARE, seed: int = SEED
 ) -> tuple[DataFrame, DataFrame]:
     """Store the model columns once, then split: training passes re-read one row per policy."""
-    stored = durable(table.select(_KEEP), "features")
+    stored = durable(table.select(_KEEP), "features", key="policy_num")
     marked = mark_test_rows(stored, test_share, seed)
     return marked.where(~F.col("is_test")).drop("is_test"), marked.where("is_test").drop("is_test")
 
@@ -68,7 +68,7 @@ def train_baseline(table: DataFrame) -> tuple[PipelineModel, DataFrame]:
         ratio_or_zero(both, F.count(F.when(predicted, 1))).alias("precision"),
         ratio_or_zero(both, F.count(F.when(actual, 1))).alias("recall"),
     )
-    auc = M.ranking_quality(scored).select("roc_auc").scalar()
+    auc = M.ranking_quality(M.score_counts(scored)).select("roc_auc").scalar()
     return trained.model, rates.withColumn("roc_auc", auc)
 
 
@@ -85,22 +85,24 @@ def evaluate_scores(
     cost_fn: float = COST_FALSE_NEGATIVE,
 ) -> dict[str, DataFrame]:
     """Sweep, calibration and a report: metrics at 0.5 and at the cheapest threshold."""
-    sweep = M.with_expected_cost(M.threshold_sweep(scored), cost_fp, cost_fn)
+    counts = durable(M.score_counts(scored), "score-counts")
     # the chosen threshold is one of the swept ones, so its row is already there
-    sweep = durable(sweep, "threshold-sweep")
+    sweep = durable(
+        M.with_expected_cost(M.threshold_sweep(counts), cost_fp, cost_fn), "threshold-sweep"
+    )
     chosen = M.cheapest_threshold(sweep)
-    cells = ["true_negative", "false_positive", "false_negative", "true_positive"]
-    names = ["threshold", "precision", "recall", "f1", "roc_auc", "pr_auc", *cells]
+    names = ["threshold", "precision", "recall", "f1", "roc_auc", "pr_auc", *M.CELLS]
+    row = F.struct(*names)
     at_chosen = sweep.where(F.col("threshold") == chosen.select("threshold").scalar())
-    at_default = M.threshold_sweep(scored, [DEFAULT_THRESHOLD])
-    metrics = at_default.select(F.struct(*names).alias("default_threshold_metrics"))
-    report = metrics.withColumn(
-        "cost_weighted_threshold", chosen.select("threshold").scalar()
-    ).withColumn("cost_weighted_metrics", at_chosen.limit(1).select(F.struct(*names)).scalar())
+    report = M.threshold_sweep(counts, [DEFAULT_THRESHOLD]).select(
+        row.alias("default_threshold_metrics"),
+        chosen.select("threshold").scalar().alias("cost_weighted_threshold"),
+        at_chosen.select(row).scalar().alias("cost_weighted_metrics"),
+    )
     return {
         "report": report,
         "threshold_sweep": sweep.orderBy("position").drop("position"),
-        "calibration": M.calibration_table(scored).select(
+        "calibration": M.calibration_table(counts).select(
             "mean_predicted_probability", "observed_churn_rate"
         ),
     }

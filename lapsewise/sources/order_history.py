@@ -17,8 +17,16 @@ from lapsewise.fixed_values import ACTIVE, CANCELLED, EXPIRED, FAILED, PAID, PAI
 _FIRST_DAY = "1995-01-01"
 
 
+_SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    return spark.read.schema(_SCHEMAS[table]).parquet(f"{folder}/{table}.parquet")
 
 
 def _bucket(policy: Column) -> Column:

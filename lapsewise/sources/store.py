@@ -6,16 +6,16 @@ nothing, and appending again adds nothing.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lapsewise import schemas as S
 from lapsewise.operators.integrity import new_rows
-from lapsewise.workspace import durable
 
 PARTITION = "scored_date"
 
@@ -36,21 +36,21 @@ def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
 def append_new(spark: SparkSession, folder: str, table: str, incoming: DataFrame) -> int:
     """Append the rows whose key is not stored yet; return how many there were.
 
-    The choice is written to scratch space first: it reads the very folder that
-    the append then adds to, and its count must be of the rows appended.
+    The stored files are listed before the append starts, so reading the keys
+    of the folder that is added to is safe; the rows are counted as they are
+    written.
     """
-    key = list(S.PRIMARY_KEYS[table])
-    chosen = durable(new_rows(incoming, read_table(spark, folder, table), key), f"new-{table}")
-    added = chosen.count()
-    if added:
-        writer = chosen
-        if table == S.RISK_SCORE:
-            writer = chosen.withColumn(PARTITION, F.to_date("scored_at"))
-        out = writer.write.mode("append")
-        if table == S.RISK_SCORE:
-            out = out.partitionBy(PARTITION)
-        out.parquet(f"{folder}/{table}")
-    return added
+    stored = read_table(spark, folder, table)
+    added = Observation(f"new-{table}-{uuid.uuid4().hex}")
+    chosen = new_rows(incoming, stored, S.PRIMARY_KEYS[table]).observe(
+        added, F.count(F.lit(1)).alias("n_rows")
+    )
+    if table == S.RISK_SCORE:
+        chosen = chosen.withColumn(PARTITION, F.to_date("scored_at"))
+        chosen.write.mode("append").partitionBy(PARTITION).parquet(f"{folder}/{table}")
+    else:
+        chosen.write.mode("append").parquet(f"{folder}/{table}")
+    return added.get["n_rows"]
 
 
 def write_risk_scores(spark: SparkSession, folder: str, scores: DataFrame) -> int:

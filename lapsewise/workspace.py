@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -30,8 +31,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and read it back: columnar, prunable, no lineage behind it."""
-    path = scratch_path(df.sparkSession, name)
+def durable(df: DataFrame, name: str, key: str | None = None) -> DataFrame:
+    """Write ``df`` once and read it back: columnar, prunable, no lineage behind it.
+
+    With a unique ``key`` the rows are spread evenly over many files in a fixed
+    order. Model fits then use every core and give the same result every time.
+    """
+    spark = df.sparkSession
+    if key is not None:
+        # by a hash of the key: Spark would drop a plain repartition after a join on it
+        df = df.repartition(n_tasks(spark), F.xxhash64(key)).sortWithinPartitions(key)
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def n_tasks(spark: SparkSession) -> int:
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(partitions, spark.sparkContext.defaultParallelism)

@@ -1,0 +1,68 @@
+import pytest
+from pyspark.sql import functions as F
+
+from lapsewise.fixed_values import ACTIONS, DEFAULT_ACTION, DESCRIPTIONS
+from lapsewise.functions.advice import described, recommended_action, top_factors, why_flagged
+from lapsewise.functions.scalars import at_least_zero, half_even, headline
+from lapsewise.schemas import FACTORS
+
+
+def evaluate(spark, factors, expression):
+    df = spark.createDataFrame([(factors,)], f"f {FACTORS.simpleString()}")
+    return df.select(expression(F.col("f"))).collect()[0][0]
+
+
+@pytest.mark.parametrize("factors, wanted", [
+    ([("failed_invoice_ratio", 0.3), ("late_invoice_ratio", 0.1)], ACTIONS["failed_invoice_ratio"]),
+    ([("tenure_days", 0.4), ("late_invoice_ratio", 0.1)], ACTIONS["late_invoice_ratio"]),
+    ([("failed_invoice_ratio", -0.4), ("max_days_late", 0.1)], ACTIONS["max_days_late"]),
+    ([("insurance_product_Auto", 0.4), ("avg_days_late", 0.1)], ACTIONS["avg_days_late"]),
+    ([("failed_invoice_ratio", 0.0)], DEFAULT_ACTION),
+    ([("tenure_days", 0.4)], DEFAULT_ACTION),
+    ([], DEFAULT_ACTION),
+    (None, DEFAULT_ACTION),
+])
+def test_recommended_action(spark, factors, wanted):
+    assert evaluate(spark, factors, recommended_action) == wanted
+
+
+def test_descriptions_keep_rank_order_and_limit(spark):
+    ranked = ["max_days_late", "tenure_days", "failed_invoice_ratio", "late_invoice_ratio", "avg_days_late"]
+    factors = [(name, 0.9 - i / 10) for i, name in enumerate(ranked)]
+    wanted = [DESCRIPTIONS[n] for n in ranked if n != "tenure_days"]
+    assert evaluate(spark, factors, described) == wanted[:3]
+    assert evaluate(spark, factors, lambda f: described(f, 1)) == wanted[:1]
+    assert evaluate(spark, factors, why_flagged) == "; ".join(wanted[:3])
+    with pytest.raises(ValueError):
+        described(F.col("f"), 0)
+
+
+@pytest.mark.parametrize("factors", [[], None, [("tenure_days", 1.0), ("failed_invoice_ratio", -1.0)]])
+def test_nothing_to_describe(spark, factors):
+    assert evaluate(spark, factors, described) == []
+    assert evaluate(spark, factors, why_flagged) == "-"
+
+
+def test_top_factors_rank_by_magnitude_then_position(spark):
+    df = spark.createDataFrame([([0.05, -0.9, 0.1, -0.1],)], "c array<double>")
+    got = df.select(top_factors(F.col("c"), list("abcd"), 3)).collect()[0][0]
+    assert [tuple(f) for f in got] == [("b", -0.9), ("c", 0.1), ("d", -0.1)]
+
+
+def test_tiny_factor_is_rounded_away_before_its_sign_counts(spark):
+    df = spark.createDataFrame([([0.00003],)], "c array<double>")
+    factors = top_factors(F.col("c"), ["failed_invoice_ratio"], 1)
+    assert df.select(recommended_action(factors)).collect()[0][0] == DEFAULT_ACTION
+
+
+def test_scalars(spark):
+    df = spark.createDataFrame([(-3, None, 12.25, "Do this - because - so")], "a int, b int, c double, d string")
+    got = df.select(
+        at_least_zero(F.col("a")), at_least_zero(F.col("b")), half_even(F.col("c"), 1), headline(F.col("d"))
+    ).collect()[0]
+    assert tuple(got) == (0, None, 12.2, "Do this")
+
+
+def test_every_action_has_a_headline():
+    assert all(" - " in text for text in [*ACTIONS.values(), DEFAULT_ACTION])
+    assert ACTIONS.keys() == DESCRIPTIONS.keys()

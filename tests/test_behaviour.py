@@ -1,0 +1,181 @@
+import itertools
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from lapsewise.operators import behaviour as B
+from lapsewise.operators import payments as P
+from lapsewise.operators.ordering import running_totals
+from tests.fixtures import invoices, payments, policies
+
+
+def one(df):
+    rows = df.collect()
+    assert len(rows) == 1
+    return rows[0]
+
+
+def test_invoice_without_payments_is_missed(spark):
+    row = one(P.invoice_summary(invoices(spark, [("I1", "P1", 1, "2024-01-01", 30)]), payments(spark, [])))
+    assert (row.was_missed, row.had_failed_attempt, row.was_paid_late) == (True, False, False)
+    assert (row.failed_attempts, row.max_days_late) == (0, None)
+
+
+def test_failed_then_paid_is_failed_but_not_missed(spark):
+    inv = invoices(spark, [("I1", "P1", 1, "2024-01-01", 30)])
+    pay = payments(spark, [("T1", "I1", "2024-01-05", "Failed"), ("T2", "I1", "2024-01-09", "Paid")])
+    row = one(P.invoice_summary(inv, pay))
+    assert (row.was_missed, row.had_failed_attempt, row.failed_attempts) == (False, True, 1)
+
+
+@pytest.mark.parametrize("paid, days", [("2024-01-06", 0), ("2024-02-10", 10)])
+def test_lateness_counts_from_the_end_of_the_window(spark, paid, days):
+    inv = invoices(spark, [("I1", "P1", 1, "2024-01-01", 30)])
+    pay = payments(spark, [("T1", "I1", paid, "Paid")])
+    assert one(P.invoice_summary(inv, pay)).max_days_late == days
+    assert one(P.payment_lateness(pay, inv)).days_late == days
+
+
+def test_status_and_dates_are_judged_separately(spark):
+    """A 'Paid' row beyond the window has days late but is not 'Paid Late'; NULL status is neither."""
+    inv = invoices(spark, [("I1", "P1", 1, "2024-01-01", 30), ("I2", "P1", 2, "2024-01-01", 30)])
+    pay = payments(spark, [("T1", "I1", "2024-03-01", "Paid"), ("T2", "I2", "2024-03-01", None)])
+    for row in P.invoice_summary(inv, pay).collect():
+        assert (row.was_paid_late, row.had_failed_attempt, row.max_days_late) == (False, False, 30)
+
+
+def test_failed_attempts_and_unknown_dates_have_no_lateness(spark):
+    inv = invoices(spark, [("I1", "P1", 1, "2024-01-01", 30)])
+    pay = payments(
+        spark, [("T1", "I1", "2024-06-01", "Failed"), ("T2", "I1", None, "Paid"), ("T3", "I9", "2024-01-01", "Paid")]
+    )
+    lateness = {r.transaction_id: r.days_late for r in P.payment_lateness(pay, inv).collect()}
+    assert lateness == {"T1": None, "T2": None}
+    assert one(P.invoice_summary(inv, pay)).max_days_late is None
+
+
+def test_missed_invoices(spark):
+    inv = invoices(spark, [("I1", "P1", 1, "2024-01-01", 30), ("I2", "P1", 2, "2024-02-01", 30)])
+    pay = payments(spark, [("T1", "I1", None, "Failed"), ("T2", None, None, "Paid")])
+    assert [r.invoice_num for r in P.missed_invoices(inv, pay).collect()] == ["I2"]
+
+
+def summary(spark, rows):
+    """(policy, installment, invoice, failed, late)"""
+    return spark.createDataFrame(
+        [(p, i, n, f, l, False, 1 if f else 0, None) for p, i, n, f, l in rows],
+        "policy_num string, installment_num int, invoice_num string, had_failed_attempt boolean, "
+        "was_paid_late boolean, was_missed boolean, failed_attempts bigint, max_days_late int",
+    )
+
+
+def test_trend_compares_recent_with_early_half(spark):
+    rows = [("P1", i, f"I{i}", i > 2, False) for i in (3, 1, 4, 2)]  # installments out of order
+    rows += [("P2", 1, "J1", True, True)]  # one invoice: no trend
+    rows += [("P3", i * 10, f"K{i}", i == 3, i == 1) for i in (1, 2, 3)]  # gaps; early half is 2 of 3
+    got = {r.policy_num: r for r in B.policy_features(summary(spark, rows)).collect()}
+    assert got["P1"].trend_failed_rate_delta == 1.0
+    assert (got["P2"].trend_failed_rate_delta, got["P2"].trend_late_rate_delta) == (0.0, 0.0)
+    assert (got["P3"].trend_failed_rate_delta, got["P3"].trend_late_rate_delta) == (1.0, -0.5)
+
+
+def brute_force_deltas(rows):
+    out = {}
+    key = lambda r: (r[0], r[1] is None, r[1] or 0, r[2])
+    for policy, group in itertools.groupby(sorted(rows, key=key), key=lambda r: r[0]):
+        flags = [float(r[3]) for r in group]
+        half = math.ceil(len(flags) / 2)
+        early, recent = flags[:half], flags[half:]
+        out[policy] = sum(recent) / len(recent) - sum(early) / len(early) if recent else 0.0
+    return out
+
+
+def test_hot_policies_are_spread_with_the_same_result(spark):
+    """One policy holds a third of the rows, with repeated and unknown installments."""
+    rng = random.Random(3)
+    rows = []
+    for n in range(900):
+        policy = "HOT" if n % 3 == 0 else f"P{rng.randrange(40)}"
+        installment = rng.choice([None, 1, 1, 1, rng.randrange(30)])
+        rows.append((policy, installment, f"I{n}", rng.random() < 0.4, False))
+    data = summary(spark, rows)
+    wanted = brute_force_deltas(rows)
+    for limit in (10**6, 100, 3):
+        hot = B.hot_policies(data, limit)
+        assert (hot is None) == (limit == 10**6)
+        got = {r.policy_num: r.trend_failed_rate_delta for r in B.policy_features(data, hot).collect()}
+        assert got.keys() == wanted.keys()
+        assert all(abs(got[p] - wanted[p]) < 1e-12 for p in wanted)
+
+
+def test_running_totals_match_a_plain_loop(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice("ab"), rng.randrange(200), f"k{n}", rng.randrange(9)) for n in range(500)]
+    df = spark.createDataFrame(rows, "g string, o int, k string, v int")
+    for slices in (1, 7, 200):
+        got = running_totals(df, ["o", "k"], ["v"], within=["g"], slices=slices).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            assert r.v_before == sum(v for g, o, k, v in rows if g == r.g and (o, k) < (r.o, r.k))
+
+
+def test_running_totals_of_nothing(spark):
+    empty = spark.createDataFrame([], "o double, v bigint")
+    assert running_totals(empty, ["o"], ["v"]).count() == 0
+
+
+def test_rollup_of_two_invoices_one_paid(spark):
+    inv = invoices(spark, [("I1", "P1", 1, "2024-01-01", 30), ("I2", "P1", 2, "2024-02-01", 30)])
+    row = one(B.policy_features(P.invoice_summary(inv, payments(spark, [("T1", "I1", "2024-01-02", "Paid")]))))
+    assert (row.total_invoices, row.missed_invoice_count, row.missed_invoice_ratio) == (2, 1, 0.5)
+    assert (row.failed_invoice_count, row.avg_days_late, row.max_days_late) == (0, 0.0, 0.0)
+
+
+def test_average_lateness_is_over_invoice_maxima(spark):
+    inv = invoices(spark, [("I1", "P1", 1, "2024-01-01", 0), ("I2", "P1", 2, "2024-01-01", 0)])
+    pay = payments(
+        spark,
+        [("T1", "I1", "2024-01-02", "Paid"), ("T2", "I1", "2024-01-11", "Paid Late"), ("T3", "I2", "2024-01-03", "Paid")],
+    )
+    row = one(B.policy_features(P.invoice_summary(inv, pay)))
+    assert (row.avg_days_late, row.max_days_late, row.late_invoice_ratio) == (6.0, 10.0, 0.5)
+
+
+def test_tenure_and_label(spark):
+    rows = [
+        ("P1", "Cancelled", "2024-01-01", "2025-01-01", "2024-04-01"),
+        ("P2", "Active", "2024-01-01", "2025-01-01", None),
+        ("P3", "Cancelled", "2024-01-01", "2025-01-01", None),
+        ("P4", None, "2024-01-01", "2025-01-01", None),
+    ]
+    got = {r.policy_num: (r.tenure_days, r.is_churned) for r in B.policy_static(policies(spark, rows)).collect()}
+    assert got == {"P1": (91, 1), "P2": (366, 0), "P3": (None, 1), "P4": (366, 0)}
+
+
+def test_policy_without_invoices_has_zero_behaviour_but_unknown_tenure_stays(spark):
+    pol = policies(spark, [("P1", "Cancelled", "2024-01-01", "2025-01-01", None)])
+    row = one(B.feature_table(pol, invoices(spark, []), payments(spark, [])))
+    assert row.tenure_days is None
+    assert all(row[c] == 0 for c in B.PAYMENT_FEATURES)
+
+
+def test_active_filter_may_be_empty(spark):
+    rows = [(p, s, "2024-01-01", "2025-01-01", None) for p, s in (("A", "Active"), ("B", "Expired"), ("C", "Cancelled"))]
+    table = policies(spark, rows)
+    assert [r.policy_num for r in B.active_policies(table).collect()] == ["A"]
+    assert B.active_policies(table.where(F.col("policy_num") != "A")).isEmpty()
+
+
+def test_feature_plan_stays_in_the_jvm_with_few_exchanges(spark, capsys):
+    pol = policies(spark, [("P1", "Active", "2024-01-01", "2025-01-01", None)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        B.feature_table(pol, invoices(spark, []), payments(spark, [])).explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plan = capsys.readouterr().out
+    assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    # payments and invoices by invoice, summary and policies by policy
+    assert plan.count("Exchange hashpartitioning") == 4

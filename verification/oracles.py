@@ -48,7 +48,7 @@ def _factors(source: str) -> str:
     """Long form of the linear contributions, ranked per policy."""
     means = ", ".join(f"avg({c}) AS m_{c}" for c in BEHAVIOUR_FEATURES)
     parts = " UNION ALL ".join(
-        f"SELECT policy_num, {i} AS i, '{c}' AS feature, CAST({BETAS[c]} AS DOUBLE) * ({c} - m_{c}) AS v"
+        f"SELECT policy_num, {i} AS i, '{c}' AS feature, CAST({BETAS[c]} AS DOUBLE) * ({c} - m_{c}) AS v, CAST({c} AS DOUBLE) AS x"
         f" FROM {source}, (SELECT {means} FROM {source})"
         for i, c in enumerate(BEHAVIOUR_FEATURES)
     )
@@ -308,7 +308,7 @@ _STATEMENTS: dict[str, str] = {
                    (SELECT sum(n * (n - 1) / 2) FROM (SELECT count(*) AS n FROM clustered GROUP BY cluster)) AS a,
                    (SELECT sum(n * (n - 1) / 2) FROM (SELECT count(*) AS n FROM profile GROUP BY hidden_profile)) AS b,
                    (SELECT count(*) * (count(*) - 1) / 2 FROM profile) AS t)""",
-    "top_factors": f"SELECT policy_num, CAST(rank AS INTEGER) AS rank, feature, {r6('v')} AS shap_value FROM factors WHERE rank <= 5",
+    "top_factors": f"SELECT policy_num, CAST(rank AS INTEGER) AS rank, feature, {r6('x')} AS value, {r6('v')} AS shap_value FROM factors WHERE rank <= 5",
     "feature_importance": f"SELECT feature, {r6('avg(abs(v))')} AS mean_abs_shap_value FROM factors GROUP BY feature",
     "riskiest_policy": f"SELECT policy_num, {r6('p')} AS p FROM scored ORDER BY scored.p DESC, policy_num LIMIT 1",
     "recommend_action": f"""

@@ -57,6 +57,10 @@ def _scored(spark: SparkSession, folder: str) -> DataFrame:
     return stand_ins.with_score(_features(spark, folder))
 
 
+def _score_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return durable(M.score_counts(_scored(spark, folder)), "score-counts")
+
+
 def _clustered(spark: SparkSession, folder: str) -> DataFrame:
     return stand_ins.with_cluster(_features(spark, folder))
 
@@ -191,32 +195,31 @@ def _profile(name: str) -> Query:
 
 
 def confusion(spark, folder):
-    return M.confusion_counts(_scored(spark, folder), 0.5)
+    return M.confusion_counts(_score_counts(spark, folder), 0.5)
 
 
 def metrics(spark, folder):
-    return shown(M.compute_metrics(_scored(spark, folder), 0.5))
+    return shown(M.compute_metrics(_score_counts(spark, folder), 0.5))
 
 
 def roc_auc(spark, folder):
-    return shown(M.ranking_quality(_scored(spark, folder)), "roc_auc")
+    return shown(M.ranking_quality(_score_counts(spark, folder)), "roc_auc")
 
 
 def pr_auc(spark, folder):
-    return shown(M.ranking_quality(_scored(spark, folder)), "pr_auc")
+    return shown(M.ranking_quality(_score_counts(spark, folder)), "pr_auc")
 
 
 def calibration(spark, folder):
-    return shown(M.calibration_table(_scored(spark, folder)))
+    return shown(M.calibration_table(_score_counts(spark, folder)))
 
 
 def threshold_sweep(spark, folder):
-    return shown(M.with_expected_cost(M.threshold_sweep(_scored(spark, folder))))
+    return shown(M.with_expected_cost(M.threshold_sweep(_score_counts(spark, folder))))
 
 
 def cost_threshold(spark, folder):
-    sweep = M.with_expected_cost(M.threshold_sweep(_scored(spark, folder)))
-    return shown(M.cheapest_threshold(sweep))
+    return shown(M.cheapest_threshold(M.with_expected_cost(M.threshold_sweep(_score_counts(spark, folder)))))
 
 
 def class_weights(spark, folder):
@@ -257,7 +260,8 @@ def adjusted_rand(spark, folder):
 
 
 def top_factors(spark, folder):
-    return shown(attribution.ranked_factors(_explained(spark, folder), S.BEHAVIOUR_FEATURES, 5))
+    values = F.array(*[F.col(c).cast("double") for c in S.BEHAVIOUR_FEATURES])
+    return shown(attribution.ranked_factors(_explained(spark, folder), S.BEHAVIOUR_FEATURES, 5, values))
 
 
 def feature_importance(spark, folder):
