@@ -22,7 +22,7 @@ _RAW, _SCALED = "_behaviour", "_behaviour_scaled"
 
 
 def fit_segments(
-    table: DataFrame, k: int = 3, seed: int = SEED, starts: int = 10, parallel: int = 5
+    table: DataFrame, k: int = 3, seed: int = SEED, starts: int = 10, parallel: int = 10
 ) -> PipelineModel:
     """K-means on the standardised behaviour columns, best of ``starts`` seeds.
 
@@ -45,7 +45,12 @@ def fit_segments(
         @inheritable_thread_target(table.sparkSession)
         def fit(start: int):
             return KMeans(
-                featuresCol=_SCALED, predictionCol="cluster", k=k, seed=seed + start, maxIter=300
+                featuresCol=_SCALED,
+                predictionCol="cluster",
+                k=k,
+                seed=seed + start,
+                maxIter=300,
+                solver="row",  # the block solver fails on fewer than k distinct rows
             ).fit(scaled)
 
         with ThreadPool(min(parallel, starts)) as pool:

@@ -6,12 +6,11 @@ nothing, and appending again adds nothing.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapsewise import schemas as S
@@ -37,20 +36,18 @@ def append_new(spark: SparkSession, folder: str, table: str, incoming: DataFrame
     """Append the rows whose key is not stored yet; return how many there were.
 
     The stored files are listed before the append starts, so reading the keys
-    of the folder that is added to is safe; the rows are counted as they are
-    written.
+    of the folder that is added to is safe. The rows are counted from the
+    footers of the files that the append has added.
     """
     stored = read_table(spark, folder, table)
-    added = Observation(f"new-{table}-{uuid.uuid4().hex}")
-    chosen = new_rows(incoming, stored, S.PRIMARY_KEYS[table]).observe(
-        added, F.count(F.lit(1)).alias("n_rows")
-    )
+    chosen = new_rows(incoming, stored, S.PRIMARY_KEYS[table])
     if table == S.RISK_SCORE:
         chosen = chosen.withColumn(PARTITION, F.to_date("scored_at"))
         chosen.write.mode("append").partitionBy(PARTITION).parquet(f"{folder}/{table}")
     else:
         chosen.write.mode("append").parquet(f"{folder}/{table}")
-    return added.get["n_rows"]
+    added = set(read_table(spark, folder, table).inputFiles()) - set(stored.inputFiles())
+    return spark.read.parquet(*added).count() if added else 0
 
 
 def write_risk_scores(spark: SparkSession, folder: str, scores: DataFrame) -> int:
