@@ -29,23 +29,45 @@ def score_counts(scored: DataFrame, label: str = "y", score: str = "p") -> DataF
     )
 
 
-def _cells(threshold: float) -> Column:
-    flagged = F.col("score") >= F.lit(float(threshold))
+def confusion_counts(counts: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
+    """One row with all four cells; flagged means ``score >= threshold``."""
+    return _cells_per_threshold(counts, [float(threshold)]).select(*CELLS)
 
-    def rows(condition: Column, count: str) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col(count))), F.lit(0).cast("bigint"))
 
-    return F.struct(
-        rows(~flagged, "neg").alias("true_negative"),
-        rows(flagged, "neg").alias("false_positive"),
-        rows(~flagged, "pos").alias("false_negative"),
-        rows(flagged, "pos").alias("true_positive"),
-    )
+def _cells_per_threshold(counts: DataFrame, thresholds: Sequence[float]) -> DataFrame:
+    """Position, threshold and the four cells, in the order given.
 
+    Each score is placed between the thresholds, so one small aggregate (a row
+    per gap) replaces a pass or a copy of the scores per threshold. The
+    thresholds then add up the gaps above them.
+    """
+    ordered = sorted(set(thresholds))
+    gap = F.size(F.filter(F.array(*[F.lit(t) for t in ordered]), lambda t: t <= F.col("score")))
+    gaps = (
+        counts.groupBy(gap.alias("gap"))
+        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+        .agg(F.collect_list(F.struct("gap", "pos", "neg")).alias("gaps"))
+    )
+    points = F.array(
+        *[F.struct(F.lit(t).alias("threshold"), F.lit(ordered.index(t) + 1).alias("gap")) for t in thresholds]
+    )
 
-def confusion_counts(counts: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
-    """One row with all four cells; flagged means ``score >= threshold``."""
-    return counts.agg(_cells(threshold).alias("c")).select("c.*")
+    def total(count: str, flagged: bool) -> Column:
+        def counted(gap: Column) -> Column:
+            at_or_above = gap["gap"] >= F.col("point.gap")
+            return F.when(at_or_above if flagged else ~at_or_above, gap[count]).otherwise(0)
+
+        zero = F.lit(0).cast("bigint")
+        return F.aggregate("gaps", zero, lambda sum_, gap: sum_ + counted(gap))
+
+    return gaps.select("gaps", F.posexplode(points).alias("position", "point")).select(
+        "position",
+        "point.threshold",
+        total("neg", False).alias("true_negative"),
+        total("neg", True).alias("false_positive"),
+        total("pos", False).alias("false_negative"),
+        total("pos", True).alias("true_positive"),
+    )
 
 
 def _rates() -> list[Column]:
@@ -87,19 +109,14 @@ def ranking_quality(counts: DataFrame) -> DataFrame:
 def threshold_sweep(counts: DataFrame, thresholds: Sequence[float] | None = None) -> DataFrame:
     """Metrics and confusion counts per threshold, in the order given.
 
-    One pass: each task sums every threshold's cells, so the scores are neither
-    repeated per threshold nor shuffled beyond one row per task. The
-    threshold-free metrics are computed once and attached to every row.
+    The threshold-free metrics are computed once and attached to every row.
     """
     points = [float(t) for t in (DEFAULT_THRESHOLDS if thresholds is None else thresholds)]
     if not points:
         raise ValueError("at least one threshold is needed")
-    swept = counts.agg(
-        F.array(*[F.struct(F.lit(t).alias("threshold"), _cells(t).alias("c")) for t in points]).alias("points")
-    ).select(F.posexplode("points").alias("position", "point"))
     quality = ranking_quality(counts).select(F.struct("roc_auc", "pr_auc").alias("q")).scalar()
     return (
-        swept.select("position", "point.threshold", "point.c.*")
+        _cells_per_threshold(counts, points)
         .withColumn("q", quality)
         .select("position", "threshold", *_rates(), "q.roc_auc", "q.pr_auc", *CELLS)
         .orderBy("position")

@@ -47,7 +47,7 @@ def running_totals(
     ).scalar()
     sliced = (
         df.withColumn("_splitters", splitters)
-        .withColumn("_slice", F.size(F.filter("_splitters", lambda s: s < key)))
+        .withColumn("_slice", F.coalesce(F.size(F.filter("_splitters", lambda s: s < key)), F.lit(0)))
         .drop("_splitters")
     )
 

@@ -8,14 +8,9 @@ shuffle that a hot customer could stall.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from lapsewise import schemas as S
-from lapsewise.fixed_values import ACTIVE, CANCELLED, EXPIRED, FAILED, PAID, PAID_LATE
-
-_FIRST_DAY = "1995-01-01"
-
 
 _SCHEMAS = {
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
@@ -24,109 +19,91 @@ _SCHEMAS = {
     " l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
 }
 
+_POLICY_OF_ORDER = "(o_custkey * 2 + o_orderkey % 2)"
+_ARREARS = "cast(30 * (1 + o_orderkey % 3) AS int)"
 
-def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.schema(_SCHEMAS[table]).parquet(f"{folder}/{table}.parquet")
 
-
-def _bucket(policy: Column) -> Column:
+def _spread(policy: str) -> str:
     """0..99, spread over policies; under 24 is cancelled, under 50 active."""
-    return (policy * 7919) % 100
+    return f"({policy} * 7919 % 100)"
+
+
+def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    return spark.read.schema(_SCHEMAS[table]).parquet(f"{folder}/{table}.parquet")
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
-    return _read(spark, folder, "customer").select(
-        F.col("c_custkey").cast("string").alias("customer_id"),
-        F.col("c_nationkey").cast("string").alias("tax_id"),
-        F.split_part("c_name", F.lit("#"), F.lit(1)).alias("c_first_name"),
-        F.split_part("c_name", F.lit("#"), F.lit(2)).alias("c_last_name"),
+    return _read(spark, folder, "customer").selectExpr(
+        "cast(c_custkey AS string) AS customer_id",
+        "cast(c_nationkey AS string) AS tax_id",
+        "split_part(c_name, '#', 1) AS c_first_name",
+        "split_part(c_name, '#', 2) AS c_last_name",
     )
 
 
 def policies(spark: SparkSession, folder: str) -> DataFrame:
-    number = F.col("c_custkey") * 2 + F.col("half")
-    start = F.date_add(F.lit(_FIRST_DAY).cast("date"), ((F.col("n") * 37) % 2000).cast("int"))
-    cancelled_on = F.date_add(F.col("start"), (30 + (F.col("n") * 31) % 300).cast("int"))
-    status = (
-        F.when(_bucket(F.col("n")) < 24, CANCELLED)
-        .when(_bucket(F.col("n")) < 50, ACTIVE)
-        .otherwise(EXPIRED)
+    numbered = _read(spark, folder, "customer").selectExpr(
+        "c_custkey", "c_mktsegment", "explode(array(c_custkey * 2, c_custkey * 2 + 1)) AS n"
     )
-    frequency = F.element_at(
-        F.array(F.lit("Monthly"), F.lit("Quarterly"), F.lit("Semi-Annual")),
-        (F.col("n") % 3 + 1).cast("int"),
+    dated = numbered.selectExpr(
+        "*",
+        "date_add(date '1995-01-01', cast(n * 37 % 2000 AS int)) AS start",
+        f"CASE WHEN {_spread('n')} < 24 THEN 'Cancelled'"
+        f" WHEN {_spread('n')} < 50 THEN 'Active' ELSE 'Expired' END AS policy_status",
     )
-    return (
-        _read(spark, folder, "customer")
-        .select("c_custkey", "c_mktsegment", F.explode(F.array(F.lit(0), F.lit(1))).alias("half"))
-        .withColumn("n", number)
-        .withColumn("start", start)
-        .withColumn("status", status)
-        .select(
-            F.col("c_mktsegment").alias("insurance_product"),
-            F.col("c_custkey").cast("string").alias("customer_id"),
-            F.col("n").cast("string").alias("policy_num"),
-            F.col("start").alias("effective_start_date"),
-            F.date_add("start", 365).alias("effective_end_date"),
-            frequency.alias("payment_frequency"),
-            F.col("status").alias("policy_status"),
-            F.when(F.col("status") == CANCELLED, cancelled_on).alias("cancel_date"),
-        )
+    return dated.selectExpr(
+        "c_mktsegment AS insurance_product",
+        "cast(c_custkey AS string) AS customer_id",
+        "cast(n AS string) AS policy_num",
+        "start AS effective_start_date",
+        "date_add(start, 365) AS effective_end_date",
+        "element_at(array('Monthly', 'Quarterly', 'Semi-Annual'), cast(n % 3 + 1 AS int)) AS payment_frequency",
+        "policy_status",
+        "CASE WHEN policy_status = 'Cancelled'"
+        " THEN date_add(start, cast(30 + n * 31 % 300 AS int)) END AS cancel_date",
     )
 
 
-def _policy_of_order() -> Column:
-    return F.col("o_custkey") * 2 + F.col("o_orderkey") % 2
-
-
-def _arrears() -> Column:
-    return (30 * (1 + F.col("o_orderkey") % 3)).cast("int")
-
-
 def invoices(spark: SparkSession, folder: str) -> DataFrame:
-    day = F.col("o_orderdate").cast("date")
-    return _read(spark, folder, "orders").select(
-        _policy_of_order().cast("string").alias("policy_num"),
-        F.col("o_orderkey").cast("string").alias("invoice_num"),
-        F.lit("Premium").alias("invoice_type"),
-        day.alias("invoice_start_date"),
-        F.date_add(day, 30).alias("invoice_end_date"),
-        _arrears().alias("days_arrears_allowed"),
+    day = "cast(o_orderdate AS date)"
+    return _read(spark, folder, "orders").selectExpr(
+        f"cast({_POLICY_OF_ORDER} AS string) AS policy_num",
+        "cast(o_orderkey AS string) AS invoice_num",
+        "'Premium' AS invoice_type",
+        f"{day} AS invoice_start_date",
+        f"date_add({day}, 30) AS invoice_end_date",
+        f"{_ARREARS} AS days_arrears_allowed",
         # the day number: same order as numbering the orders 1, 2, 3 by date
-        F.datediff(day, F.lit(_FIRST_DAY)).alias("installment_num"),
-        F.col("o_totalprice").cast("decimal(12,2)").alias("premium"),
+        f"datediff({day}, date '1995-01-01') AS installment_num",
+        "cast(o_totalprice AS decimal(12,2)) AS premium",
     )
 
 
 def payments(spark: SparkSession, folder: str) -> DataFrame:
-    orders = _read(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    lag = F.pmod(F.datediff("l_shipdate", "o_orderdate"), F.lit(75))
-    failed = (F.col("l_returnflag") == "R") & (
-        (F.col("l_linestatus") == "O") | (_bucket(_policy_of_order()) < 24)
+    orders = _read(spark, folder, "orders").selectExpr(
+        "o_orderkey AS l_orderkey",
+        "cast(o_orderdate AS date) AS billed",
+        f"{_spread(_POLICY_OF_ORDER)} < 24 AS cancelled",
+        f"{_ARREARS} AS arrears",
+    )
+    lagged = _read(spark, folder, "lineitem").join(orders, "l_orderkey").selectExpr(
+        "*", "pmod(datediff(l_shipdate, billed), 75) AS lag"
     )
-    status = F.when(failed, FAILED).when(F.col("lag") > _arrears(), PAID_LATE).otherwise(PAID)
-    return (
-        _read(spark, folder, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .withColumn("lag", lag)
-        .select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("transaction_id"),
-            F.col("l_orderkey").cast("string").alias("invoice_num"),
-            F.col("l_extendedprice").cast("decimal(12,2)").alias("premium"),
-            F.date_add(F.col("o_orderdate").cast("date"), F.col("lag")).alias("pay_transaction_date"),
-            status.alias("pay_transaction_status"),
-        )
+    return lagged.selectExpr(
+        "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS transaction_id",
+        "cast(l_orderkey AS string) AS invoice_num",
+        "cast(l_extendedprice AS decimal(12,2)) AS premium",
+        "date_add(billed, lag) AS pay_transaction_date",
+        "CASE WHEN l_returnflag = 'R' AND (l_linestatus = 'O' OR cancelled) THEN 'Failed'"
+        " WHEN lag > arrears THEN 'Paid Late' ELSE 'Paid' END AS pay_transaction_status",
     )
 
 
 def hidden_profile(spark: SparkSession, folder: str) -> DataFrame:
-    number = F.col("policy_num").cast("bigint")
-    return policies(spark, folder).select(
+    return policies(spark, folder).selectExpr(
         "policy_num",
-        F.when(F.col("policy_status") == CANCELLED, "churned")
-        .when(number % 2 == 0, "at_risk")
-        .otherwise("good")
-        .alias("hidden_profile"),
+        "CASE WHEN policy_status = 'Cancelled' THEN 'churned'"
+        " WHEN cast(policy_num AS bigint) % 2 = 0 THEN 'at_risk' ELSE 'good' END AS hidden_profile",
     )
 
 
