@@ -34,7 +34,8 @@ def hot_policies(invoices: DataFrame, limit: int = HOT_POLICY_INVOICES) -> DataF
     """Policies with more than ``limit`` invoices, or None when there are none.
 
     Reads one column and combines before the shuffle. At most one policy per
-    ``limit`` invoices can qualify.
+    ``limit`` invoices can qualify, so the result is small enough to broadcast:
+    a million rows for 10 ** 12 invoices.
     """
     counted = (
         invoices.where(F.col("policy_num").isNotNull())
@@ -42,7 +43,7 @@ def hot_policies(invoices: DataFrame, limit: int = HOT_POLICY_INVOICES) -> DataF
         .agg(F.count("*").alias("invoices_of_policy"))
         .where(F.col("invoices_of_policy") > limit)
     )
-    return None if counted.isEmpty() else counted
+    return None if counted.isEmpty() else durable(counted, "hot-policies")
 
 
 def with_early_half(summary: DataFrame, hot: DataFrame | None = None) -> DataFrame:
@@ -50,8 +51,8 @@ def with_early_half(summary: DataFrame, hot: DataFrame | None = None) -> DataFra
 
     The early half holds ceil(n / 2) invoices, by installment (unknown last),
     then invoice number. Ordinary policies are ranked by a window. ``hot``
-    policies are ranked by running totals instead, over many tasks; their rows
-    are written out first, because the totals read them more than once.
+    policies are ranked by running totals instead, over many tasks; the summary
+    is then stored first, because both ways read it.
     """
     summary = summary.where(F.col("policy_num").isNotNull())
 
@@ -68,21 +69,24 @@ def with_early_half(summary: DataFrame, hot: DataFrame | None = None) -> DataFra
     if hot is None:
         return ranked_in_task(summary)
 
-    columns = summary.columns
-    ordinary = ranked_in_task(summary.join(hot, "policy_num", "left_anti").select(columns))
-    hot_rows = (
-        summary.join(hot, "policy_num")
-        .withColumn("_undated", F.col("installment_num").isNull())
-        .withColumn("position", F.lit(1).cast("bigint"))
+    summary = durable(summary, "invoice-summary")
+    # broadcast, so that a hot policy's rows are never shuffled together
+    hot = F.broadcast(hot)
+    ordinary = ranked_in_task(
+        summary.join(hot, "policy_num", "left_anti").select(summary.columns)
     )
     spread = running_totals(
-        durable(hot_rows, "hot-policies"),
+        summary.join(hot, "policy_num")
+        .withColumn("_undated", F.col("installment_num").isNull())
+        .withColumn("position", F.lit(1).cast("bigint")),
         order_by=["_undated", "installment_num", "invoice_num"],
         totals=["position"],
         within=["policy_num"],
     )
     return ordinary.unionByName(
-        spread.select(*columns, early(F.col("position_before"), F.col("invoices_of_policy")))
+        spread.select(
+            *summary.columns, early(F.col("position_before"), F.col("invoices_of_policy"))
+        )
     )
 
 

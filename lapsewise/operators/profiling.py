@@ -31,29 +31,6 @@ def class_balance(policies: DataFrame) -> DataFrame:
     return counted.withColumn("pct", percent(F.col("n"), total)).orderBy(F.desc("n"), "policy_status")
 
 
-def payment_status_counts(
-    policies: DataFrame, invoices: DataFrame, payments: DataFrame
-) -> DataFrame:
-    """Payments per (policy_status, pay_transaction_status), both known.
-
-    Counted per policy before the second join, so that join carries a few rows
-    per policy instead of every payment.
-    """
-    per_policy = (
-        payments.where(F.col("pay_transaction_status").isNotNull())
-        .select("invoice_num", "pay_transaction_status")
-        .join(invoices.select("invoice_num", "policy_num"), "invoice_num")
-        .groupBy("policy_num", "pay_transaction_status")
-        .agg(F.count("*").alias("n"))
-    )
-    return (
-        per_policy.join(policies.select("policy_num", "policy_status"), "policy_num")
-        .where(F.col("policy_status").isNotNull())
-        .groupBy("policy_status", "pay_transaction_status")
-        .agg(F.sum("n").alias("n"))
-    )
-
-
 def payment_status_share(
     policies: DataFrame,
     invoices: DataFrame,
@@ -62,17 +39,33 @@ def payment_status_share(
 ) -> DataFrame:
     """Row-normalised crosstab: one column of percentages per payment status.
 
-    The row total covers every status that occurs, listed or not.
+    The row total covers every known status that occurs, listed or not.
+    Payments are counted per invoice, then per policy, each before the join on
+    the same key: the joins need no shuffle of their own, and neither a
+    much-retried invoice nor a large policy reaches them as more than one row.
     """
-    counts = payment_status_counts(policies, invoices, payments)
-    cells = [
-        F.sum(F.when(F.col("pay_transaction_status") == s, F.col("n")).otherwise(0)).alias(s)
-        for s in statuses
-    ]
-    wide = counts.groupBy("policy_status").agg(F.sum("n").alias("_all"), *cells)
-    return wide.select(
-        "policy_status", *[percent(F.col(f"`{s}`"), F.col("_all")).alias(s) for s in statuses]
-    ).orderBy("policy_status")
+    counts = ["all", *statuses]
+
+    def summed(rows: DataFrame, key: str) -> DataFrame:
+        return rows.groupBy(key).agg(*[F.sum(f"`{c}`").alias(c) for c in counts])
+
+    status = F.col("pay_transaction_status")
+    per_invoice = (
+        payments.where(status.isNotNull() & F.col("invoice_num").isNotNull())
+        .groupBy("invoice_num")
+        .agg(F.count("*").alias("all"), *[F.count(F.when(status == s, 1)).alias(s) for s in statuses])
+    )
+    per_policy = summed(
+        per_invoice.join(invoices.select("invoice_num", "policy_num"), "invoice_num"), "policy_num"
+    )
+    known = policies.select("policy_num", "policy_status").where(F.col("policy_status").isNotNull())
+    return (
+        summed(per_policy.join(known, "policy_num"), "policy_status")
+        .select(
+            "policy_status", *[percent(F.col(f"`{s}`"), F.col("all")).alias(s) for s in statuses]
+        )
+        .orderBy("policy_status")
+    )
 
 
 def missed_by_status(policies: DataFrame, invoices: DataFrame, payments: DataFrame) -> DataFrame:

@@ -30,6 +30,5 @@ def build_active_feature_table(tables: Tables, hot_limit: int = B.HOT_POLICY_INV
     """
     active = B.active_policies(tables[S.POLICIES])
     invoices = tables[S.INVOICE].join(active.select("policy_num"), "policy_num", "left_semi")
-    return B.feature_table(
-        active, invoices, tables[S.PAYHISTORY], B.hot_policies(invoices, hot_limit)
-    )
+    hot = B.hot_policies(tables[S.INVOICE], hot_limit)
+    return B.feature_table(active, invoices, tables[S.PAYHISTORY], hot)
