@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lapsewise.fixed_values import ACTIONS, DEFAULT_ACTION, DESCRIPTIONS, NOT_ACTIONABLE, TOP_FACTORS
 from lapsewise.functions.scalars import half_even
+from lapsewise.schemas import FACTORS
 
 
 def _lookup(entries: dict[str, str]) -> Column:
@@ -78,3 +79,12 @@ def top_factors(contributions: Column, names: list[str], n: int = TOP_FACTORS) -
             name_at(names, entry["i"]).alias("feature"), half_even(entry["v"], 4).alias("value")
         ),
     )
+
+
+def factors_to_json(factors: Column) -> Column:
+    """``[{"feature": ..., "value": ...}, ...]`` for sinks that only store text."""
+    return F.to_json(factors)
+
+
+def factors_from_json(text: Column) -> Column:
+    return F.from_json(text, FACTORS)

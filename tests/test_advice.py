@@ -2,7 +2,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from lapsewise.fixed_values import ACTIONS, DEFAULT_ACTION, DESCRIPTIONS
-from lapsewise.functions.advice import described, recommended_action, top_factors, why_flagged
+from lapsewise.functions.advice import (
+    described,
+    factors_from_json,
+    factors_to_json,
+    recommended_action,
+    top_factors,
+    why_flagged,
+)
 from lapsewise.functions.scalars import at_least_zero, half_even, headline
 from lapsewise.schemas import FACTORS
 
@@ -66,3 +73,11 @@ def test_scalars(spark):
 def test_every_action_has_a_headline():
     assert all(" - " in text for text in [*ACTIONS.values(), DEFAULT_ACTION])
     assert ACTIONS.keys() == DESCRIPTIONS.keys()
+
+
+def test_factors_survive_a_text_sink(spark):
+    factors = [("failed_invoice_ratio", 0.25), ("tenure_days", -0.5)]
+    text = evaluate(spark, factors, factors_to_json)
+    assert text == '[{"feature":"failed_invoice_ratio","value":0.25},{"feature":"tenure_days","value":-0.5}]'
+    back = evaluate(spark, factors, lambda f: factors_from_json(factors_to_json(f)))
+    assert [tuple(f) for f in back] == factors
