@@ -15,7 +15,7 @@ def normalize_dates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     def cleaned(field: T.StructField):
         value = F.col(field.name)
         if isinstance(field.dataType, T.StringType):
-            value = F.when(F.trim(value) != "", value)
+            value = F.when(value != "", value)
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             value = F.when(~F.isnan(value), value)
         if field.name in columns:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lapsewise.fixed_values import LOW_RISK, REPORT_HEADINGS
 from lapsewise.functions.advice import why_flagged
-from lapsewise.functions.scalars import half_even, headline
+from lapsewise.functions.scalars import half_even, headline, ratio_or_zero
 from lapsewise.operators.profiling import value_counts
 
 
@@ -37,8 +37,8 @@ def action_counts(scores: DataFrame) -> DataFrame:
 def summary_headline(scores: DataFrame) -> DataFrame:
     """One row: policies scored, and how many are at risk as ``k (p%)``."""
     counted = scores.agg(F.count("*").alias("n"), F.count(F.when(is_at_risk(), 1)).alias("k"))
-    share = half_even(F.col("k") / F.col("n") * 100, 0).cast("int")
+    share = half_even(ratio_or_zero(F.col("k"), F.col("n")) * 100, 0).cast("int")
     return counted.select(
         F.col("n").alias("policies_scored"),
-        F.format_string("%d (%d%%)", F.col("k"), F.coalesce(share, F.lit(0))).alias("flagged_at_risk"),
+        F.format_string("%d (%d%%)", F.col("k"), share).alias("flagged_at_risk"),
     )

@@ -68,7 +68,8 @@ def train_baseline(table: DataFrame) -> tuple[PipelineModel, DataFrame]:
         ratio_or_zero(both, F.count(F.when(predicted, 1))).alias("precision"),
         ratio_or_zero(both, F.count(F.when(actual, 1))).alias("recall"),
     )
-    auc = M.ranking_quality(M.score_counts(scored)).select("roc_auc").scalar()
+    counts = durable(M.score_counts(scored), "score-counts")
+    auc = M.ranking_quality(counts).select("roc_auc").scalar()
     return trained.model, rates.withColumn("roc_auc", auc)
 
 

@@ -20,16 +20,14 @@ PARTITION = "scored_date"
 
 
 def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """A stored table, or an empty one if nothing has been stored yet."""
+    """A stored table with its partition column, or an empty one if nothing is stored yet."""
     schema = S.SCHEMAS[table]
     try:
-        stored = spark.read.parquet(f"{folder}/{table}")
+        return spark.read.schema(schema).parquet(f"{folder}/{table}")
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
-    partitions = [PARTITION] if PARTITION in stored.columns else []
-    return stored.select(*schema.fieldNames(), *partitions)
 
 
 def append_new(spark: SparkSession, folder: str, table: str, incoming: DataFrame) -> int:

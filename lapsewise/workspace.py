@@ -28,7 +28,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder below ``<checkpoint dir>/lapsewise``, which may be emptied between jobs."""
+    return f"{checkpoint_dir(spark)}/lapsewise/{name}-{uuid.uuid4().hex}"
 
 
 def durable(df: DataFrame, name: str, key: str | None = None) -> DataFrame:

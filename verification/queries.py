@@ -17,7 +17,7 @@ from lapsewise.fixed_values import EXPIRED, PAID
 from lapsewise.functions.advice import described, recommended_action
 from lapsewise.operators import agreement, attribution, behaviour, integrity
 from lapsewise.operators import metrics as M
-from lapsewise.operators import models, payments, profiling, reporting, scores, segments, splitting
+from lapsewise.operators import models, payments, reporting, scores, segments, splitting
 from lapsewise.plans import scoring, seeding, segmentation, training
 from lapsewise.plans.features import build_active_feature_table, build_feature_table
 from lapsewise.plans.profile import profile_tables
