@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 _SAMPLES_PER_SLICE = 4
+_STRIDE = 32  # of the landmarks that narrow the search among the splitters
 
 
 def default_slices(df: DataFrame) -> int:
@@ -36,19 +37,31 @@ def running_totals(
     columns = [*within, *order_by]
     key = F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
 
-    sample = (
+    def every(array: str, n: int) -> Column:
+        return F.filter(array, lambda _, i: i % n == n - 1)
+
+    chosen = (
         df.select(key.alias("k"))
         .orderBy(F.xxhash64("k"), "k")
         .limit(_SAMPLES_PER_SLICE * slices)
         .agg(F.sort_array(F.collect_list("k")).alias("sample"))
+        .select(every("sample", _SAMPLES_PER_SLICE).alias("splitters"))
+        .select(F.struct("splitters", every("splitters", _STRIDE).alias("landmarks")))
+        .scalar()
     )
-    splitters = sample.select(
-        F.filter("sample", lambda _, i: i % _SAMPLES_PER_SLICE == _SAMPLES_PER_SLICE - 1)
-    ).scalar()
+
+    def below_key(array: Column) -> Column:
+        return F.coalesce(F.size(F.filter(array, lambda s: s < key)), F.lit(0))
+
     sliced = (
-        df.withColumn("_splitters", splitters)
-        .withColumn("_slice", F.coalesce(F.size(F.filter("_splitters", lambda s: s < key)), F.lit(0)))
-        .drop("_splitters")
+        df.withColumn("_s", chosen)
+        .withColumn("_passed", below_key(F.col("_s.landmarks")) * _STRIDE)
+        .withColumn(
+            "_slice",
+            F.col("_passed")
+            + below_key(F.slice("_s.splitters", F.col("_passed") + 1, F.lit(_STRIDE))),
+        )
+        .drop("_s", "_passed")
     )
 
     def summed(window: W, total: str) -> Column:
