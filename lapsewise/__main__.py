@@ -1,6 +1,7 @@
 """The jobs, for spark-submit or ``python -m lapsewise``:
 
     seed      merge new CSV files into the stored tables
+    stream    the same from one folder per table, taking up only files not seen before
     profile   show the descriptive tables
     evaluate  train on all policies, save the model and its evaluation
     score     score the active policies, add the batch to the history
@@ -19,12 +20,17 @@ from lapsewise.plans import profile, report, scoring, seeding, training
 from lapsewise.plans.features import build_feature_table
 from lapsewise.sources.store import save_evaluation, save_model
 from lapsewise.sources.tables import load_tables
+from lapsewise.streaming.seeding import stream_all
 
 
 def seed(spark: SparkSession, args: argparse.Namespace) -> None:
     seeding.seed_all(spark, args.csv, args.store).show(truncate=False)
 
 
+def stream(spark: SparkSession, args: argparse.Namespace) -> None:
+    stream_all(spark, args.csv, args.store, args.checkpoint)
+
+
 def show_profile(spark: SparkSession, args: argparse.Namespace) -> None:
     for name, table in profile.profile_tables(load_tables(spark, args.store)).items():
         print(name)
@@ -63,6 +69,7 @@ def parser() -> argparse.ArgumentParser:
         return sub
 
     job("seed", seed, "csv", "store")
+    job("stream", stream, "csv", "store", "checkpoint")
     job("profile", show_profile, "store")
     fit = job("evaluate", evaluate, "store", "model", "output")
     fit.add_argument("--baseline", action="store_true", help="logistic regression")

@@ -12,6 +12,7 @@ from lapsewise.operators.integrity import new_rows, orphan_keys
 from lapsewise.operators.profiling import table_counts
 from lapsewise.sources.store import append_new, read_table
 from lapsewise.sources.tables import read_csv_table
+from lapsewise.workspace import durable
 
 
 def orphan_report(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -38,18 +39,28 @@ def seed_counts(incoming: Mapping[str, DataFrame], stored: Mapping[str, DataFram
     return new.join(whole, "table_name")
 
 
+def merge_file(spark: SparkSession, store: str, table: str, rows: DataFrame) -> tuple[int, int]:
+    """Append the new rows of one table; return how many were new and how many came.
+
+    Refuses rows whose parent is not stored, as a foreign key would. The rows
+    are stored once: the check and the merge then read columns, not the source.
+    """
+    rows = durable(rows, f"file-{table}")
+    if table in S.FOREIGN_KEYS:
+        column, parent = S.FOREIGN_KEYS[table]
+        orphans = orphan_keys(
+            rows, read_table(spark, store, parent), column, S.PRIMARY_KEYS[parent][0]
+        )
+        example = orphans.head()
+        if example is not None:
+            raise ValueError(f"{table}.{column} {example[0]!r} has no row in {parent}")
+    return append_new(spark, store, table, rows), rows.count()
+
+
 def seed_all(spark: SparkSession, csv_folder: str, store: str) -> DataFrame:
-    """Load every CSV table, parents first, refusing children without a parent."""
-    counts = []
-    for table in S.LOAD_ORDER:
-        incoming = read_csv_table(spark, csv_folder, table)
-        if table in S.FOREIGN_KEYS:
-            column, parent = S.FOREIGN_KEYS[table]
-            orphans = orphan_keys(
-                incoming, read_table(spark, store, parent), column, S.PRIMARY_KEYS[parent][0]
-            )
-            example = orphans.head()
-            if example is not None:
-                raise ValueError(f"{table}.{column} {example[0]!r} has no row in {parent}")
-        counts.append((table, append_new(spark, store, table, incoming), incoming.count()))
+    """Load every CSV table, parents first."""
+    counts = [
+        (table, *merge_file(spark, store, table, read_csv_table(spark, csv_folder, table)))
+        for table in S.LOAD_ORDER
+    ]
     return spark.createDataFrame(counts, "table_name string, new_rows bigint, file_rows bigint")

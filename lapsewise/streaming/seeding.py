@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lapsewise import schemas as S
 from lapsewise.operators.integrity import normalize_dates
-from lapsewise.sources.store import append_new
+from lapsewise.plans.seeding import merge_file
 
 
 def stream_table(
@@ -17,11 +17,12 @@ def stream_table(
 
     Uniqueness is against the whole stored table rather than a watermark, so
     each micro-batch goes through the same merge as a batch load; a batch that
-    is retried after a failure adds nothing twice.
+    is retried after a failure adds nothing twice. Rows that arrive before
+    their parent stop the stream; it takes them up again when it is restarted.
     """
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        append_new(batch.sparkSession, store, table, batch)
+        merge_file(batch.sparkSession, store, table, batch)
 
     files = (
         spark.readStream.schema(S.SCHEMAS[table])
@@ -37,3 +38,11 @@ def stream_table(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def stream_all(spark: SparkSession, csv_folder: str, store: str, checkpoint: str) -> None:
+    """Merge the new files of every table's folder, parents first, then stop."""
+    for table in S.LOAD_ORDER:
+        stream_table(
+            spark, f"{csv_folder}/{table}", store, table, f"{checkpoint}/{table}"
+        ).awaitTermination()

@@ -179,3 +179,33 @@ def test_feature_plan_stays_in_the_jvm_with_few_exchanges(spark, capsys):
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
     # payments and invoices by invoice, summary and policies by policy
     assert plan.count("Exchange hashpartitioning") == 4
+
+
+def test_lateness_join_splits_a_hot_invoice(spark):
+    """A third of all payments belong to one invoice: no task gets them all."""
+    pay = spark.range(300_000).selectExpr(
+        "cast(id AS string) transaction_id",
+        "CASE WHEN id % 3 = 0 THEN 'I0' ELSE concat('I', id % 5000) END invoice_num",
+        "date '2024-03-01' pay_transaction_date",
+        "'Paid' pay_transaction_status",
+    ).repartition(8)
+    inv = spark.range(5000).selectExpr(
+        "concat('I', id) invoice_num", "'P' policy_num", "date '2024-01-01' invoice_start_date", "30 days_arrears_allowed"
+    ).repartition(8)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        late = P.payment_lateness(pay, inv).select("transaction_id", "days_late")
+        rows = late.collect()
+        plan = late._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert len(rows) == 300_000 and {r.days_late for r in rows} == {30}
+    assert "skew=true" in plan, plan

@@ -8,7 +8,7 @@ from lapsewise.operators import integrity
 from lapsewise.plans.seeding import orphan_report, seed_all
 from lapsewise.sources.store import append_new, read_table
 from lapsewise.sources.tables import load_tables, read_csv_table, read_hidden_profile
-from lapsewise.streaming.seeding import stream_table
+from lapsewise.streaming.seeding import stream_all, stream_table
 
 FILES = {
     S.CUSTOMER: "customer_id,tax_id,c_first_name,c_last_name\nC1,T1,Ann,Lee\nC2,,Bo,\n",
@@ -125,3 +125,24 @@ def test_stream_merges_new_files_only(spark, tmp_path):
     (files / "b.csv").write_text("\n".join([header, *rows, rows[1]]) + "\n")
     assert run() == ["C1", "C2"]
     assert run() == ["C1", "C2"]
+
+
+def test_stream_of_every_table_waits_for_parents(spark, tmp_path):
+    files, store, checkpoint = (str(tmp_path / n) for n in ("files", "store", "checkpoint"))
+
+    def arrive(table, text, name):
+        (tmp_path / "files" / table).mkdir(parents=True, exist_ok=True)
+        (tmp_path / "files" / table / name).write_text(text)
+
+    for table, text in FILES.items():
+        arrive(table, text, "a.csv")
+    header = FILES[S.INVOICE].splitlines()[0]
+    arrive(S.INVOICE, f"{header}\nP9,I9,Premium,2024-01-01,2024-01-31,30,1,1.00\n", "b.csv")
+    with pytest.raises(Exception, match="P9"):
+        stream_all(spark, files, store, checkpoint)
+
+    header = FILES[S.POLICIES].splitlines()[0]
+    arrive(S.POLICIES, f"{header}\nAuto,C1,P9,2024-01-01,2025-01-01,Monthly,Active,\n", "b.csv")
+    stream_all(spark, files, store, checkpoint)
+    counts = {t: df.count() for t, df in load_tables(spark, store).items()}
+    assert counts == {S.CUSTOMER: 2, S.POLICIES: 3, S.INVOICE: 3, S.PAYHISTORY: 2}
