@@ -20,7 +20,11 @@ def connection():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
-    assert spark_rows(QUERIES[name](spark, FOLDER)) == oracle_rows(connection, ORACLES[name])
+    result = QUERIES[name](spark, FOLDER)
+    assert spark_rows(result) == oracle_rows(connection, ORACLES[name])
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    for slow in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert slow not in plan
 
 
 def test_every_query_has_an_oracle():
