@@ -4,6 +4,7 @@
     stream    the same from one folder per table, taking up only files not seen before
     profile   show the descriptive tables
     evaluate  train on all policies, save the model and its evaluation
+    explain   train on all policies, show what drives the held-out scores
     score     score the active policies, add the batch to the history
     report    write the report tables of the latest batch
 """
@@ -17,6 +18,7 @@ from pyspark.sql import SparkSession
 
 from lapsewise.operators import models
 from lapsewise.plans import profile, report, scoring, seeding, training
+from lapsewise.plans.explanation import explain_held_out
 from lapsewise.plans.features import build_feature_table
 from lapsewise.sources.store import save_evaluation, save_model
 from lapsewise.sources.tables import load_tables
@@ -46,6 +48,13 @@ def evaluate(spark: SparkSession, args: argparse.Namespace) -> None:
         print(name, path)
 
 
+def explain(spark: SparkSession, args: argparse.Namespace) -> None:
+    table = build_feature_table(load_tables(spark, args.store))
+    explained = explain_held_out(training.train(table, models.random_forest(args.trees)))
+    explained["importance"].show(truncate=False)
+    explained["riskiest"].show(truncate=False)
+
+
 def score(spark: SparkSession, args: argparse.Namespace) -> None:
     added, _ = scoring.run_batch_scoring(
         spark, load_tables(spark, args.store), args.model, args.store
@@ -73,7 +82,9 @@ def parser() -> argparse.ArgumentParser:
     job("profile", show_profile, "store")
     fit = job("evaluate", evaluate, "store", "model", "output")
     fit.add_argument("--baseline", action="store_true", help="logistic regression")
-    fit.add_argument("--trees", type=int, default=200)
+    why = job("explain", explain, "store")
+    for sub in (fit, why):
+        sub.add_argument("--trees", type=int, default=200)
     fit.add_argument("--cost-fp", type=float, default=1.0)
     fit.add_argument("--cost-fn", type=float, default=5.0)
     job("score", score, "store", "model")

@@ -19,6 +19,7 @@ def test_every_job_from_csv_to_report(spark, tmp_path, capsys):
     main(["seed", "--csv", csv, "--store", store])
     main(["profile", "--store", store])
     main(["evaluate", "--store", store, "--model", model, "--output", output, "--trees", "20"])
+    main(["explain", "--store", store, "--trees", "5"])
     main(["score", "--store", store, "--model", model])
     main(["score", "--store", store, "--model", model])
     main(["report", "--store", store, "--output", output])

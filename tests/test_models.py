@@ -10,6 +10,7 @@ from lapsewise import schemas as S
 from lapsewise.operators import attribution, models, segments
 from lapsewise.operators.splitting import class_weight_table, class_weights, mark_test_rows, held_out_quota
 from lapsewise.plans import training
+from lapsewise.plans.explanation import explain_held_out
 from lapsewise.sources.store import load_model, save_model
 from tests.fixtures import one_driver
 
@@ -216,6 +217,16 @@ def test_the_real_driver_ranks_first(table, forest):
     assert (first[0].feature, first[0].shap_value > 0) == ("failed_invoice_ratio", True)
 
 
+def test_held_out_explanation(table):
+    trained = training.train(table, models.random_forest(**SMALL_FOREST))
+    explained = explain_held_out(trained)
+    assert explained["contributions"].count() == trained.test.count() == 8
+    assert explained["importance"].collect()[0].feature == "failed_invoice_ratio"
+    riskiest = explained["riskiest"].collect()
+    best = explained["contributions"].orderBy(F.desc("churn_probability"), "policy_num").head().policy_num
+    assert [(r.policy_num, r.rank) for r in riskiest] == [(best, i) for i in range(1, 6)]
+
+
 def test_importance_is_the_mean_magnitude(spark):
     df = spark.createDataFrame([([5.0, 1.0],), ([-5.0, 1.0],)], "contributions array<double>")
     assert [tuple(r) for r in attribution.feature_importance(df, ["a", "b"]).collect()] == [("a", 5.0), ("b", 1.0)]

@@ -363,6 +363,13 @@ _STATEMENTS: dict[str, str] = {
     "lr_scores": "SELECT policy_num, y, true AS in_range, true AS class_follows_p FROM held_out",
     "rf_scores": "SELECT policy_num, y, true AS in_range, true AS class_follows_p FROM held_out",
     "shap_additivity": "SELECT policy_num, true AS adds_up FROM held_out",
+    "forest_importance": "SELECT feature, true AS in_range FROM (" + " UNION ALL ".join(
+        [f"SELECT '{c}' AS feature" for c in BEHAVIOUR_FEATURES]
+        + [f"SELECT DISTINCT '{c}_' || {c} FROM policies" for c in ("insurance_product", "payment_frequency")]
+    ) + ")",
+    "riskiest_factors": """
+      SELECT 5::BIGINT AS n_factors, count(DISTINCT policy_num) AS n_policies, 5::BIGINT AS n_features, true AS strongest_first
+      FROM (SELECT policy_num FROM held_out ORDER BY policy_num LIMIT 1)""",
     "segments": "SELECT policy_num, true AS is_named FROM features",
     "segment_order": "SELECT CAST(3 AS BIGINT) AS n_segments, true AS rising FROM features LIMIT 1",
     "score_batch": f"""

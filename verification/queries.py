@@ -19,6 +19,7 @@ from lapsewise.operators import agreement, attribution, behaviour, integrity
 from lapsewise.operators import metrics as M
 from lapsewise.operators import models, payments, reporting, scores, segments, splitting
 from lapsewise.plans import scoring, seeding, segmentation, training
+from lapsewise.plans.explanation import explain_held_out
 from lapsewise.plans.features import build_active_feature_table, build_feature_table
 from lapsewise.plans.profile import profile_tables
 from lapsewise.sources.order_history import billing_tables, hidden_profile
@@ -361,17 +362,36 @@ def rf_scores(spark, folder):
     return _held_out(spark, folder, models.random_forest())
 
 
+def _held_out_explanation(spark, folder):
+    return explain_held_out(training.train(_features(spark, folder), models.random_forest()))
+
+
 def shap_additivity(spark, folder):
-    tables = billing_tables(spark, folder)
-    trained = training.train(build_feature_table(tables), models.random_forest())
-    scored = models.predict(trained.model, trained.test)
-    explained = attribution.with_contributions(scored, trained.model)
+    explained = _held_out_explanation(spark, folder)["contributions"]
     total = F.aggregate("contributions", F.col("base_value"), lambda a, v: a + v)
     return explained.select(
         "policy_num", (F.abs(total - F.col("churn_probability")) < 1e-9).alias("adds_up")
     )
 
 
+def forest_importance(spark, folder):
+    """Every input of the model, categories included, has one importance."""
+    return _held_out_explanation(spark, folder)["importance"].select(
+        "feature", F.col("mean_abs_shap_value").between(0, 1).alias("in_range")
+    )
+
+
+def riskiest_factors(spark, folder):
+    """Five factors of one policy, each rank once, strongest first."""
+    factors = _held_out_explanation(spark, folder)["riskiest"]
+    return factors.agg(
+        F.count("*").alias("n_factors"),
+        F.count_distinct("policy_num").alias("n_policies"),
+        F.count_distinct("feature").alias("n_features"),
+        (F.max_by(F.abs("shap_value"), "rank") <= F.min_by(F.abs("shap_value"), "rank")).alias("strongest_first"),
+    )
+
+
 def segments_of_book(spark, folder):
     labelled = segmentation.build_segments(billing_tables(spark, folder))
     return labelled.select(
@@ -475,6 +495,8 @@ QUERIES: dict[str, Query] = {
     "lr_scores": lr_scores,
     "rf_scores": rf_scores,
     "shap_additivity": shap_additivity,
+    "forest_importance": forest_importance,
+    "riskiest_factors": riskiest_factors,
     "segments": segments_of_book,
     "segment_order": segment_order,
     "score_batch": score_batch,
