@@ -96,6 +96,12 @@ def test_unknown_tenure_fails_loudly(table, forest):
         models.predict(forest, table.withColumn("tenure_days", F.lit(None).cast("double"))).collect()
 
 
+def test_a_column_of_mostly_distinct_values_is_no_category(spark):
+    df = spark.range(20_000).selectExpr("cast(id AS string) insurance_product", "'Monthly' payment_frequency")
+    with pytest.raises(ValueError, match="insurance_product"):
+        models.check_categories(df)
+
+
 def test_standardized_matches_numpy(spark):
     df = spark.createDataFrame([("a", 1.0, 5.0), ("b", 4.0, 5.0), ("c", 7.0, 5.0)], "policy_num string, x double, y double")
     got = models.standardized(df, ["x", "y"]).orderBy("policy_num").collect()

@@ -212,6 +212,10 @@ FRAGMENTS: dict[str, str] = {
       SELECT policy_num, is_churned, place <= n_test AS is_test
       FROM (SELECT policy_num, is_churned, row_number() OVER (PARTITION BY is_churned ORDER BY md5('42|' || policy_num)) AS place FROM features)
       JOIN quotas USING (is_churned)""",
+    "model_inputs": " UNION ALL ".join(
+        [f"SELECT '{c}' AS feature" for c in BEHAVIOUR_FEATURES]
+        + [f"SELECT DISTINCT '{c}_' || {c} FROM policies" for c in ("insurance_product", "payment_frequency")]
+    ),
     "held_out": "SELECT policy_num, is_churned AS y FROM split WHERE is_test",
 }
 
@@ -361,12 +365,12 @@ _STATEMENTS: dict[str, str] = {
         ]
     ) + " FROM features",
     "lr_scores": "SELECT policy_num, y, true AS in_range, true AS class_follows_p FROM held_out",
+    "lr_optimum": """
+      SELECT feature, CAST(0 AS DOUBLE) AS gradient
+      FROM (SELECT feature FROM model_inputs UNION ALL SELECT 'intercept')""",
     "rf_scores": "SELECT policy_num, y, true AS in_range, true AS class_follows_p FROM held_out",
     "shap_additivity": "SELECT policy_num, true AS adds_up FROM held_out",
-    "forest_importance": "SELECT feature, true AS in_range FROM (" + " UNION ALL ".join(
-        [f"SELECT '{c}' AS feature" for c in BEHAVIOUR_FEATURES]
-        + [f"SELECT DISTINCT '{c}_' || {c} FROM policies" for c in ("insurance_product", "payment_frequency")]
-    ) + ")",
+    "forest_importance": "SELECT feature, true AS in_range FROM model_inputs",
     "riskiest_factors": """
       SELECT 5::BIGINT AS n_factors, count(DISTINCT policy_num) AS n_policies, 5::BIGINT AS n_features, true AS strongest_first
       FROM (SELECT policy_num FROM held_out ORDER BY policy_num LIMIT 1)""",

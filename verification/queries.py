@@ -358,6 +358,23 @@ def lr_scores(spark, folder):
     return _held_out(spark, folder)
 
 
+def lr_optimum(spark, folder):
+    """The gradient of the balanced, penalised loss at the fitted coefficients, per training row."""
+    rows, _ = training.split_stored(_features(spark, folder))
+    model = models.fit_classifier(rows)
+    names, fitted = models.feature_names(model), model.stages[-1]
+    n_rows, weights = rows.count(), splitting.class_weights(splitting.class_counts(rows))
+    weight = F.when(F.col(S.LABEL) == 1, weights[1]).otherwise(weights[0])
+    residual = weight * (F.col("churn_probability") - F.col(S.LABEL))
+    scored = models.predict(model, rows).select(residual.alias("r"), vector_to_array("features").alias("x"))
+    parts = [F.sum(F.col("r") * F.col("x")[i]) + float(b) for i, b in enumerate(fitted.coefficients)]
+    gradient = scored.agg(F.array(*parts, F.sum("r")).alias("g")).select(F.posexplode("g").alias("i", "g"))
+    labels = F.array(*[F.lit(n) for n in [*names, "intercept"]])
+    return gradient.select(
+        F.get(labels, F.col("i")).alias("feature"), (F.round(F.col("g") / n_rows, 4) + 0.0).alias("gradient")
+    )
+
+
 def rf_scores(spark, folder):
     return _held_out(spark, folder, models.random_forest())
 
@@ -493,6 +510,7 @@ QUERIES: dict[str, Query] = {
     "standardize": standardize,
     "one_hot": one_hot,
     "lr_scores": lr_scores,
+    "lr_optimum": lr_optimum,
     "rf_scores": rf_scores,
     "shap_additivity": shap_additivity,
     "forest_importance": forest_importance,
