@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import byte_bpe, language, maxscore, packing, simhash, substring, token_counts, toxicity
+from lapsewise.llm import byte_bpe, language, maxscore, order_minhash, packing, pitman_yor, simhash, substring, token_counts, toxicity
 from lapsewise.llm.common import arrow_schema, bucket_of, table
 
 
@@ -68,6 +68,10 @@ def op6_maxscore(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("query_id", "rank", "vec_id", "score")
 
 
+def op7_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return order_minhash.edited_and_next(table(spark, folder, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counts = token_counts.token_counts(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
@@ -80,6 +84,11 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(docs, model).select("doc_id", fold.eqNullSafe(1).alias("held_out"), "lang_pred", "score")
 
 
+def op10_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return pitman_yor.scores(docs, bucket_of("doc_id", 7).eqNullSafe(2))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_byte_bpe": op2_byte_bpe,
@@ -87,8 +96,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring": op4_substring,
     "op5_packing": op5_packing,
     "op6_maxscore": op6_maxscore,
+    "op7_order_minhash": op7_order_minhash,
     "op8_token_counts": op8_token_counts,
     "op9_language": op9_language,
+    "op10_pitman_yor": op10_pitman_yor,
 }
 
 #: The operators that SQL can express on whole tables.
