@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapsewise.functions.scalars import pairs
+from lapsewise.workspace import durable
 
 
 def matched_with_profile(segmented: DataFrame, profile: DataFrame) -> DataFrame:
@@ -22,16 +21,19 @@ def profile_coverage(segmented: DataFrame, profile: DataFrame) -> DataFrame:
     )
 
 
-def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
-    """Counts per ``row`` value, one column per listed ``column`` value; empty cells are 0."""
-    return (
-        df.where(F.col(row).isNotNull())
-        .groupBy(row)
-        .pivot(column, list(values))
-        .count()
-        .na.fill(0)
-        .orderBy(row)
-    )
+def wide(cells: DataFrame, row: str, column: str) -> DataFrame:
+    """Counted cells ``(row, column, n)`` as one column per value of ``column`` that occurs.
+
+    The cells are stored first: they are few, and their values name the columns.
+    """
+    cells = durable(cells, "crosstab-cells")
+    return cells.groupBy(row).pivot(column).agg(F.sum("n")).na.fill(0)
+
+
+def crosstab(df: DataFrame, row: str, column: str) -> DataFrame:
+    """Counts per ``row`` value, one column per ``column`` value that occurs; empty cells are 0."""
+    known = df.where(F.col(row).isNotNull() & F.col(column).isNotNull())
+    return wide(known.groupBy(row, column).agg(F.count("*").alias("n")), row, column).orderBy(row)
 
 
 def adjusted_rand_index(df: DataFrame, left: str, right: str) -> DataFrame:

@@ -60,8 +60,10 @@ def one_row_per_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def new_rows(incoming: DataFrame, existing: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows of ``incoming`` whose key is not in ``existing`` yet, one per key.
 
-    Existing rows are never touched; only their key columns are read.
+    Existing rows are never touched; only their key columns are read. Known
+    keys go first, so a repeated load sorts and groups next to nothing.
     """
-    return one_row_per_key(incoming, key).join(existing.select(*key), list(key), "left_anti").select(
-        incoming.columns
-    )
+    columns = list(key)
+    # a missing key is in no table, so it passes on to the check
+    unknown = incoming.join(existing.select(*key), columns, "left_anti").select(incoming.columns)
+    return one_row_per_key(unknown, key)

@@ -13,8 +13,7 @@ _STRIDE = 32  # of the landmarks that narrow the search among the splitters
 
 
 def default_slices(df: DataFrame) -> int:
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(1024, max(16, partitions))
+    return max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def running_totals(

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lapsewise.fixed_values import PAYMENT_STATUSES
 from lapsewise.functions.scalars import percent
+from lapsewise.operators.agreement import wide
 
 
 def value_counts(df: DataFrame, column: str, name: str = "n") -> DataFrame:
@@ -31,41 +31,40 @@ def class_balance(policies: DataFrame) -> DataFrame:
     return counted.withColumn("pct", percent(F.col("n"), total)).orderBy(F.desc("n"), "policy_status")
 
 
-def payment_status_share(
-    policies: DataFrame,
-    invoices: DataFrame,
-    payments: DataFrame,
-    statuses: Sequence[str] = PAYMENT_STATUSES,
-) -> DataFrame:
-    """Row-normalised crosstab: one column of percentages per payment status.
+def payment_status_counts(policies: DataFrame, invoices: DataFrame, payments: DataFrame) -> DataFrame:
+    """Payments per policy status and payment status: a row for each pair that occurs.
 
-    The row total covers every known status that occurs, listed or not.
-    Payments are counted per invoice, then per policy, each before the join on
-    the same key: the joins need no shuffle of their own, and neither a
-    much-retried invoice nor a large policy reaches them as more than one row.
+    Payments are counted per invoice, then per policy, each before its join, so
+    neither a much-retried invoice nor a large policy reaches a join as more
+    than one row per payment status.
     """
-    counts = ["all", *statuses]
-
-    def summed(rows: DataFrame, key: str) -> DataFrame:
-        return rows.groupBy(key).agg(*[F.sum(f"`{c}`").alias(c) for c in counts])
-
-    status = F.col("pay_transaction_status")
+    status = "pay_transaction_status"
     per_invoice = (
-        payments.where(status.isNotNull() & F.col("invoice_num").isNotNull())
-        .groupBy("invoice_num")
-        .agg(F.count("*").alias("all"), *[F.count(F.when(status == s, 1)).alias(s) for s in statuses])
+        payments.where(F.col(status).isNotNull() & F.col("invoice_num").isNotNull())
+        .groupBy("invoice_num", status)
+        .agg(F.count("*").alias("n"))
     )
-    per_policy = summed(
-        per_invoice.join(invoices.select("invoice_num", "policy_num"), "invoice_num"), "policy_num"
+    per_policy = (
+        per_invoice.join(invoices.select("invoice_num", "policy_num"), "invoice_num")
+        .groupBy("policy_num", status)
+        .agg(F.sum("n").alias("n"))
     )
     known = policies.select("policy_num", "policy_status").where(F.col("policy_status").isNotNull())
     return (
-        summed(per_policy.join(known, "policy_num"), "policy_status")
-        .select(
-            "policy_status", *[percent(F.col(f"`{s}`"), F.col("all")).alias(s) for s in statuses]
-        )
-        .orderBy("policy_status")
+        per_policy.join(known, "policy_num").groupBy("policy_status", status).agg(F.sum("n").alias("n"))
+    )
+
+
+def payment_status_share(policies: DataFrame, invoices: DataFrame, payments: DataFrame) -> DataFrame:
+    """Row-normalised crosstab: one column of percentages per payment status that occurs."""
+    counts = wide(
+        payment_status_counts(policies, invoices, payments), "policy_status", "pay_transaction_status"
     )
+    statuses = [c for c in counts.columns if c != "policy_status"]
+    everything = reduce(lambda a, b: a + b, [F.col(f"`{s}`") for s in statuses], F.lit(0))
+    return counts.select(
+        "policy_status", *[percent(F.col(f"`{s}`"), everything).alias(s) for s in statuses]
+    ).orderBy("policy_status")
 
 
 def missed_by_status(policies: DataFrame, invoices: DataFrame, payments: DataFrame) -> DataFrame:

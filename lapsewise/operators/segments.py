@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -17,7 +16,6 @@ from pyspark.storagelevel import StorageLevel
 from lapsewise.fixed_values import SEED, SEGMENT_NAMES
 from lapsewise.schemas import BEHAVIOUR_FEATURES
 
-_ROWS_PER_TASK = 50_000  # one pass over fewer rows is shorter than starting a task
 _RAW, _SCALED = "_behaviour", "_behaviour_scaled"
 
 
@@ -38,7 +36,6 @@ def fit_segments(
     scaled = (
         scaler.transform(assembled)
         .select(_SCALED)
-        .coalesce(math.ceil(n_rows / _ROWS_PER_TASK))
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:

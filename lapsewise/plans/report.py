@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lapsewise import schemas as S
 from lapsewise.operators import reporting as R
 from lapsewise.operators.scores import latest_scores
-from lapsewise.sources.store import read_table, write_small_csv
+from lapsewise.sources.store import read_batch_log, read_table, write_small_csv
 from lapsewise.workspace import durable
 
 
@@ -42,5 +42,12 @@ def build_report(scores: DataFrame, folder: str, day: date | None = None) -> str
 
 
 def run_report(spark: SparkSession, store: str, folder: str, day: date | None = None) -> str:
-    history = read_table(spark, store, S.RISK_SCORE)
-    return build_report(latest_scores(history, read_table(spark, store, S.POLICIES)), folder, day)
+    return build_report(stored_latest_scores(spark, store), folder, day)
+
+
+def stored_latest_scores(spark: SparkSession, store: str) -> DataFrame:
+    """The latest stored batch; an empty one if nothing is scored yet."""
+    history, log = read_table(spark, store, S.RISK_SCORE), read_batch_log(spark, store)
+    if "scored_date" not in history.columns:
+        log = None
+    return latest_scores(history, read_table(spark, store, S.POLICIES), log)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lapsewise import schemas as S
 from lapsewise.operators.integrity import new_rows, orphan_keys
 from lapsewise.operators.profiling import table_counts
-from lapsewise.sources.store import append_new, read_table
+from lapsewise.sources.store import append_new, quarantine, read_table
 from lapsewise.sources.tables import read_csv_table
 from lapsewise.workspace import durable
 
@@ -39,28 +39,42 @@ def seed_counts(incoming: Mapping[str, DataFrame], stored: Mapping[str, DataFram
     return new.join(whole, "table_name")
 
 
-def merge_file(spark: SparkSession, store: str, table: str, rows: DataFrame) -> tuple[int, int]:
-    """Append the new rows of one table; return how many were new and how many came.
+def merge_file(
+    spark: SparkSession, store: str, table: str, rows: DataFrame, on_orphan: str = "fail"
+) -> tuple[int, int, int]:
+    """Append the new rows of one table; return how many were new, went to quarantine, and came.
 
-    Refuses rows whose parent is not stored, as a foreign key would. The rows
-    are stored once: the check and the merge then read columns, not the source.
+    A row whose parent is not stored fails the load, as a foreign key would, or
+    is kept in the quarantine of its table, from where its file can be loaded
+    again once the parent is there. The rows are stored once: the check and the
+    merge then read columns, not the source.
     """
-    rows = durable(rows, f"file-{table}")
+    if on_orphan not in ("fail", "quarantine"):
+        raise ValueError(f"on_orphan is 'fail' or 'quarantine', not {on_orphan!r}")
+    came = durable(rows, f"file-{table}")
+    rows, kept_back = came, 0
     if table in S.FOREIGN_KEYS:
         column, parent = S.FOREIGN_KEYS[table]
-        orphans = orphan_keys(
-            rows, read_table(spark, store, parent), column, S.PRIMARY_KEYS[parent][0]
-        )
-        example = orphans.head()
+        parent_key = S.PRIMARY_KEYS[parent][0]
+        parents = read_table(spark, store, parent)
+        example = orphan_keys(came, parents, column, parent_key).head()
         if example is not None:
-            raise ValueError(f"{table}.{column} {example[0]!r} has no row in {parent}")
-    return append_new(spark, store, table, rows), rows.count()
+            if on_orphan == "fail":
+                raise ValueError(f"{table}.{column} {example[0]!r} has no row in {parent}")
+            known = parents.select(F.col(parent_key).alias(column))
+            without = came.where(F.col(column).isNotNull()).join(known, column, "left_anti").select(came.columns)
+            kept_back = quarantine(spark, store, table, without)
+            with_parent = came.join(known, column, "left_semi").select(came.columns)
+            rows = with_parent.unionByName(came.where(F.col(column).isNull()))
+    return append_new(spark, store, table, rows), kept_back, came.count()
 
 
-def seed_all(spark: SparkSession, csv_folder: str, store: str) -> DataFrame:
+def seed_all(spark: SparkSession, csv_folder: str, store: str, on_orphan: str = "fail") -> DataFrame:
     """Load every CSV table, parents first."""
     counts = [
-        (table, *merge_file(spark, store, table, read_csv_table(spark, csv_folder, table)))
+        (table, *merge_file(spark, store, table, read_csv_table(spark, csv_folder, table), on_orphan))
         for table in S.LOAD_ORDER
     ]
-    return spark.createDataFrame(counts, "table_name string, new_rows bigint, file_rows bigint")
+    return spark.createDataFrame(
+        counts, "table_name string, new_rows bigint, quarantined_rows bigint, file_rows bigint"
+    )

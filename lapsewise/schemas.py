@@ -91,6 +91,24 @@ FOREIGN_KEYS: dict[str, tuple[str, str]] = {
     RISK_SCORE: ("policy_num", POLICIES),
 }
 
+# names of the tables in files and databases, where they differ from the ones above
+SOURCE_NAMES: dict[str, str] = {
+    CUSTOMER: "tbl_customer",
+    POLICIES: "tbl_policies",
+    INVOICE: "tbl_invoice",
+    PAYHISTORY: "tbl_payhistory",
+    RISK_SCORE: "tbl_policy_risk_score",
+}
+
+# one row per score batch: when, in which partition, how many policies
+BATCH_LOG = "score_batch_log"
+BATCH_LOG_SCHEMA = _table(
+    ("scored_at", T.TimestampNTZType()),
+    ("scored_date", _DATE),
+    ("n_rows", T.LongType()),
+    required=("scored_at",),
+)
+
 # parents before children
 LOAD_ORDER: tuple[str, ...] = (CUSTOMER, POLICIES, INVOICE, PAYHISTORY)
 

@@ -12,45 +12,82 @@ from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lapsewise import schemas as S
 from lapsewise.operators.integrity import new_rows
+from lapsewise.workspace import durable
 
 PARTITION = "scored_date"
 
 
-def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """A stored table with its partition column, or an empty one if nothing is stored yet."""
-    schema = S.SCHEMAS[table]
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     try:
-        return spark.read.schema(schema).parquet(f"{folder}/{table}")
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
+def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """A stored table with its partition column, or an empty one if nothing is stored yet."""
+    return _read(spark, f"{folder}/{table}", S.SCHEMAS[table])
+
+
+def _append(folder: str, name: str, rows: DataFrame, partition: str | None = None) -> int:
+    """Append ``rows`` and return how many there were.
+
+    They are stored first and counted from the footers of that copy, so the cost
+    follows the new rows and never the table. (An observed write would count for
+    free, but a session that has used one can no longer run a fitted forest.)
+    """
+    rows = durable(rows, f"new-{name}")
+    writer = rows.write.mode("append")
+    (writer.partitionBy(partition) if partition else writer).parquet(f"{folder}/{name}")
+    return rows.count()
+
+
 def append_new(spark: SparkSession, folder: str, table: str, incoming: DataFrame) -> int:
     """Append the rows whose key is not stored yet; return how many there were.
 
     The stored files are listed before the append starts, so reading the keys
-    of the folder that is added to is safe. The rows are counted from the
-    footers of the files that the append has added.
+    of the folder that is added to is safe.
     """
     stored = read_table(spark, folder, table)
-    chosen = new_rows(incoming, stored, S.PRIMARY_KEYS[table])
-    if table == S.RISK_SCORE:
-        chosen = chosen.withColumn(PARTITION, F.to_date("scored_at"))
-        chosen.write.mode("append").partitionBy(PARTITION).parquet(f"{folder}/{table}")
-    else:
-        chosen.write.mode("append").parquet(f"{folder}/{table}")
-    added = set(read_table(spark, folder, table).inputFiles()) - set(stored.inputFiles())
-    return spark.read.parquet(*added).count() if added else 0
+    return _append(folder, table, new_rows(incoming, stored, S.PRIMARY_KEYS[table]))
 
 
 def write_risk_scores(spark: SparkSession, folder: str, scores: DataFrame) -> int:
-    """Add one batch to the history; batches already there stay."""
-    return append_new(spark, folder, S.RISK_SCORE, scores)
+    """Add batches to the history; batches already there stay.
+
+    The history is partitioned by day, and only the days of ``scores`` are read
+    to find what is stored already. The batch log gets a row for each batch it
+    does not know, so that the latest batch is found without the history.
+    """
+    dated = scores.withColumn(PARTITION, F.to_date("scored_at"))
+    # one row per batch: as many as there are times of scoring
+    batches = dated.groupBy("scored_at", PARTITION).agg(F.count("*").alias("n_rows")).collect()
+    days = sorted({row[PARTITION] for row in batches})
+    stored = read_table(spark, folder, S.RISK_SCORE)
+    if PARTITION in stored.columns:
+        stored = stored.where(F.col(PARTITION).isin(days))
+    else:  # nothing is stored yet
+        stored = stored.withColumn(PARTITION, F.to_date("scored_at"))
+    key = [*S.PRIMARY_KEYS[S.RISK_SCORE], PARTITION]
+    added = _append(folder, S.RISK_SCORE, new_rows(dated, stored, key), PARTITION)
+    log = spark.createDataFrame(batches, S.BATCH_LOG_SCHEMA)
+    _append(folder, S.BATCH_LOG, new_rows(log, read_batch_log(spark, folder), ["scored_at"]).coalesce(1))
+    return added
+
+
+def read_batch_log(spark: SparkSession, folder: str) -> DataFrame:
+    return _read(spark, f"{folder}/{S.BATCH_LOG}", S.BATCH_LOG_SCHEMA)
+
+
+def quarantine(spark: SparkSession, folder: str, table: str, rows: DataFrame) -> int:
+    """Keep rows that may not be loaded, one per key, beside the stored tables."""
+    return append_new(spark, f"{folder}/quarantine", table, rows)
 
 
 def write_small_csv(table: DataFrame, path: str) -> str:

@@ -2,41 +2,57 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``, else the session's warehouse.
 
-    Only a local session without that setting gets a folder of its own: on a
-    cluster a machine-local folder would be lost with the machine.
+    Both are folders that every executor and the driver reach; a machine's own
+    temporary folder would be lost with the machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    own = tempfile.mkdtemp(prefix="lapsewise-")
-    spark.sparkContext.setCheckpointDir(own)
-    return checkpoint_dir(spark)
+    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+_jobs: list[str] = []  # the running job, innermost last
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """Where the running job, or else the application, keeps its scratch tables."""
+    return "/".join([shared_folder(spark), "lapsewise", spark.sparkContext.applicationId, *_jobs])
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder below ``<checkpoint dir>/lapsewise``, which may be emptied between jobs."""
-    return f"{checkpoint_dir(spark)}/lapsewise/{name}-{uuid.uuid4().hex}"
+    """A new folder for one scratch table."""
+    return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job(spark: SparkSession) -> Iterator[None]:
+    """A job leaves no scratch table behind, whether it succeeds or not."""
+    _jobs.append(uuid.uuid4().hex)
+    try:
+        yield
+    finally:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _jobs.pop()
 
 
 def durable(df: DataFrame, name: str, key: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back: columnar, prunable, no lineage behind it.
 
     With a unique ``key`` the rows are spread evenly over many files in a fixed
-    order. Model fits then use every core and give the same result every time.
+    order. Model fits then use every core and give the same result every time
+    on a cluster of the same size.
     """
     spark = df.sparkSession
     if key is not None:

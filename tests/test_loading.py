@@ -34,10 +34,49 @@ FILES = {
 @pytest.fixture
 def folder(tmp_path):
     for table, text in FILES.items():
-        (tmp_path / f"{table}.csv").write_text(text)
+        (tmp_path / f"{S.SOURCE_NAMES[table]}.csv").write_text(text)
     return str(tmp_path)
 
 
+REORDERED = "tax_id,customer_id,c_first_name,c_last_name\nTAX9,C1,Ann,Lee\n"
+
+
+def test_a_reordered_header_is_refused_by_both_readers(spark, tmp_path):
+    (tmp_path / "files").mkdir()
+    (tmp_path / "files" / "a.csv").write_text(REORDERED)
+    (tmp_path / "tbl_customer.csv").write_text(REORDERED)
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv_table(spark, str(tmp_path), S.CUSTOMER).collect()
+    store = str(tmp_path / "store")
+    with pytest.raises(Exception, match="(?i)header"):
+        stream_table(spark, str(tmp_path / "files"), store, S.CUSTOMER, str(tmp_path / "c")).awaitTermination(60)
+    assert read_table(spark, store, S.CUSTOMER).isEmpty()
+
+
+def test_plain_file_names_are_read_too(spark, tmp_path):
+    (tmp_path / "customer.csv").write_text(FILES[S.CUSTOMER])
+    assert read_csv_table(spark, str(tmp_path), S.CUSTOMER).count() == 2
+
+
+def test_orphans_go_to_quarantine(spark, folder, tmp_path):
+    store = str(tmp_path / "store")
+    with open(f"{folder}/tbl_invoice.csv", "a") as f:
+        f.write("P9,I9,Premium,2024-01-01,2024-01-31,30,1,1.00\n,I8,Premium,2024-01-01,2024-01-31,30,1,1.00\n")
+    for new, kept_back in ((3, 1), (0, 0)):
+        counts = {r.table_name: r for r in seed_all(spark, folder, store, "quarantine").collect()}
+        assert (counts[S.INVOICE].new_rows, counts[S.INVOICE].quarantined_rows) == (new, kept_back)
+    kept = read_table(spark, f"{store}/quarantine", S.INVOICE).collect()
+    assert [(r.policy_num, r.invoice_num) for r in kept] == [("P9", "I9")]
+    assert orphan_report(load_tables(spark, store)).isEmpty()
+    # once the parent is there, the same file brings the row in
+    with open(f"{folder}/tbl_policies.csv", "a") as f:
+        f.write("Home,C2,P9,2024-01-01,2025-01-01,Quarterly,Active,\n")
+    counts = {r.table_name: r.new_rows for r in seed_all(spark, folder, store, "quarantine").collect()}
+    assert counts[S.INVOICE] == 1
+    with pytest.raises(ValueError, match="on_orphan"):
+        seed_all(spark, folder, store, "drop")
+
+
 def test_csv_blanks_become_null_and_dates_are_dates(spark, folder):
     rows = {r.policy_num: r for r in read_csv_table(spark, folder, S.POLICIES).collect()}
     assert rows["P1"].cancel_date == datetime.date(2024, 4, 1)
@@ -46,7 +85,7 @@ def test_csv_blanks_become_null_and_dates_are_dates(spark, folder):
 
 
 def test_malformed_csv_fails(spark, tmp_path):
-    (tmp_path / "invoice.csv").write_text(FILES[S.INVOICE] + "P1,I3,Premium,not a date,,30,1,1.00\n")
+    (tmp_path / "tbl_invoice.csv").write_text(FILES[S.INVOICE] + "P1,I3,Premium,not a date,,30,1,1.00\n")
     with pytest.raises(Exception, match="(?i)malformed|parse"):
         read_csv_table(spark, str(tmp_path), S.INVOICE).collect()
 
@@ -96,7 +135,7 @@ def test_seeding_twice_adds_nothing(spark, folder, tmp_path):
 
 
 def test_seeding_refuses_orphans(spark, folder, tmp_path):
-    with open(f"{folder}/{S.INVOICE}.csv", "a") as f:
+    with open(f"{folder}/tbl_invoice.csv", "a") as f:
         f.write("P9,I9,Premium,2024-01-01,2024-01-31,30,1,1.00\n")
     with pytest.raises(ValueError, match="P9"):
         seed_all(spark, folder, str(tmp_path / "store"))

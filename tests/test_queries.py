@@ -1,6 +1,5 @@
 """Every registered query against its SQL oracle on the smallest data set."""
 
-import re
 from pathlib import Path
 
 import pytest
@@ -36,4 +35,4 @@ def test_entry_point(spark):
 
     assert entry.entry(spark).count() > 0
     assert entry.queries().keys() >= entry.oracle_sql().keys()
-    assert not [n for n in entry.queries() if re.search(r"^op\d|pipeline", n)]
+    assert entry.queries().keys() >= QUERIES.keys()

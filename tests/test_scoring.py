@@ -8,7 +8,13 @@ from lapsewise.fixed_values import ACTIONS
 from lapsewise.operators import models, profiling, reporting
 from lapsewise.operators.scores import latest_batch, latest_scores, risk_trend
 from lapsewise.plans import report, scoring
-from lapsewise.sources.store import read_table, save_evaluation, save_model, write_risk_scores
+from lapsewise.sources.store import (
+    read_batch_log,
+    read_table,
+    save_evaluation,
+    save_model,
+    write_risk_scores,
+)
 from lapsewise.plans.training import evaluate_scores
 from tests.fixtures import day, invoices, one_driver, payments, policies
 
@@ -64,10 +70,15 @@ def test_history_keeps_batches_and_ignores_a_repeated_one(spark, batch, tmp_path
     assert write_risk_scores(spark, store, later) == 40
     history = read_table(spark, store, S.RISK_SCORE)
     assert history.count() == 80
-    newest = latest_batch(history)
+    log = read_batch_log(spark, store)
+    assert sorted(r.n_rows for r in log.collect()) == [40, 40]
+    newest = latest_batch(history, log)
     assert newest.count() == 40
     assert {r.scored_at for r in newest.collect()} == {AT + datetime.timedelta(days=1)}
-    assert "PartitionFilters: [isnotnull(scored_date" in newest._jdf.queryExecution().toString()
+    assert latest_batch(history).count() == 40
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and f"/{S.RISK_SCORE}]" in line]
+    assert scans and all("PartitionFilters: []" not in line for line in scans)
     changes = risk_trend(history).where("previous_probability IS NOT NULL").collect()
     assert len(changes) == 40 and all(r.probability_change == 0 for r in changes)
 
@@ -179,8 +190,10 @@ def test_profile_tables(spark):
     pay = payments(spark, [("T1", "I1", None, "Paid"), ("T2", "I1", None, "Failed"), ("T3", "I1", None, "Bounced"), ("T4", "I3", None, "Paid"), ("T5", "I9", None, "Paid"), ("T6", "I3", None, None)])
     balance = [tuple(r) for r in profiling.class_balance(pol).collect()]
     assert balance == [("Active", 2, 66.7), ("Cancelled", 1, 33.3)]
-    share = {r.policy_status: (r.Failed, r.Paid, r["Paid Late"]) for r in profiling.payment_status_share(pol, inv, pay).collect()}
-    assert share == {"Active": (33.3, 33.3, 0.0), "Cancelled": (0.0, 100.0, 0.0)}
+    shares = profiling.payment_status_share(pol, inv, pay)
+    assert shares.columns == ["policy_status", "Bounced", "Failed", "Paid"]
+    assert [tuple(r) for r in shares.collect()] == [("Active", 33.3, 33.3, 33.3), ("Cancelled", 0.0, 0.0, 100.0)]
+    assert profiling.payment_status_share(pol, inv, pay.limit(0)).collect() == []
     missed = {r.policy_status: (r.total, r.paid, r.missed, r.missed_pct) for r in profiling.missed_by_status(pol, inv, pay).collect()}
     assert missed == {"Active": (2, 1, 1, 50.0), "Cancelled": (1, 1, 0, 0.0)}
     assert tuple(profiling.policies_per_customer(pol).collect()[0]) == (4.0, 4, 4)

@@ -112,7 +112,7 @@ FRAGMENTS: dict[str, str] = {
       FROM orders""",
     "payments": f"""
       SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS transaction_id,
-             CAST(l_orderkey AS VARCHAR) AS invoice_num, CAST(o_orderdate AS DATE) + CAST({LAG} AS INTEGER) AS pay_transaction_date,
+             CAST(l_orderkey AS VARCHAR) AS invoice_num, CAST(l_extendedprice AS DECIMAL(12,2)) AS premium, CAST(o_orderdate AS DATE) + CAST({LAG} AS INTEGER) AS pay_transaction_date,
              CASE WHEN l_returnflag = 'R' AND (l_linestatus = 'O' OR ({POLICY} * 7919) % 100 < 24) THEN 'Failed'
                   WHEN {LAG} > {ARREARS} THEN 'Paid Late' ELSE 'Paid' END AS pay_transaction_status,
              o_orderstatus
@@ -277,6 +277,12 @@ _STATEMENTS: dict[str, str] = {
              round_even(count(*) FILTER (pay_transaction_status = 'Paid') / count(*) * 100, 1) AS "Paid",
              round_even(count(*) FILTER (pay_transaction_status = 'Paid Late') / count(*) * 100, 1) AS "Paid Late"
       FROM payments JOIN invoices USING (invoice_num) JOIN policies USING (policy_num) GROUP BY policy_status""",
+    "eda_payment_status_all": "SELECT policy_status, " + ", ".join(
+        f"round_even(count(*) FILTER (o_orderpriority = '{v}') / count(*) * 100, 1) AS \"{v}\""
+        for v in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+    ) + """
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN invoices ON invoice_num = CAST(o_orderkey AS VARCHAR)
+      JOIN policies USING (policy_num) GROUP BY policy_status""",
     "eda_missed_by_status": """
       SELECT policy_status, count(*) AS total, count(*) FILTER (NOT was_missed) AS paid, count(*) FILTER (was_missed) AS missed,
              round_even(count(*) FILTER (was_missed) / count(*) * 100, 1) AS missed_pct
@@ -305,6 +311,10 @@ _STATEMENTS: dict[str, str] = {
       SELECT segment_label, count(*) FILTER (hidden_profile = 'at_risk') AS at_risk, count(*) FILTER (hidden_profile = 'churned') AS churned,
              count(*) FILTER (hidden_profile = 'good') AS good
       FROM labels_of_policies JOIN profile USING (policy_num) GROUP BY segment_label""",
+    "segment_profile_all": "SELECT segment_label, " + ", ".join(
+        f"count(*) FILTER (insurance_product = '{v}') AS \"{v}\""
+        for v in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+    ) + " FROM labels_of_policies JOIN policies USING (policy_num) GROUP BY segment_label",
     "profile_coverage": "SELECT count(*) FILTER (policy_status <> 'Expired') AS matched, count(*) AS total FROM profile",
     "adjusted_rand": f"""
       SELECT {r6('(s - a * b / t) / ((a + b) / 2 - a * b / t)')} AS adjusted_rand
@@ -368,20 +378,44 @@ _STATEMENTS: dict[str, str] = {
     "lr_optimum": """
       SELECT feature, CAST(0 AS DOUBLE) AS gradient
       FROM (SELECT feature FROM model_inputs UNION ALL SELECT 'intercept')""",
-    "rf_scores": "SELECT policy_num, y, true AS in_range, true AS class_follows_p FROM held_out",
-    "shap_additivity": "SELECT policy_num, true AS adds_up FROM held_out",
-    "forest_importance": "SELECT feature, true AS in_range FROM model_inputs",
+    "rf_scores": "SELECT policy_num, y, true AS in_range, true AS class_follows_p, true AS p_is_walked, true AS beats_chance FROM held_out",
+    "shap_additivity": "SELECT policy_num, true AS adds_up, true AS is_moved, true AS unused_is_zero FROM held_out",
+    "forest_importance": "SELECT feature, true AS is_mean, true AS some_matter FROM model_inputs",
     "riskiest_factors": """
-      SELECT 5::BIGINT AS n_factors, count(DISTINCT policy_num) AS n_policies, 5::BIGINT AS n_features, true AS strongest_first
-      FROM (SELECT policy_num FROM held_out ORDER BY policy_num LIMIT 1)""",
-    "segments": "SELECT policy_num, true AS is_named FROM features",
-    "segment_order": "SELECT CAST(3 AS BIGINT) AS n_segments, true AS rising FROM features LIMIT 1",
+      SELECT 5::BIGINT AS n_factors, true AS is_riskiest, 5::BIGINT AS n_features, true AS strongest_first, true AS all_matter
+      FROM (SELECT policy_num FROM held_out LIMIT 1)""",
+    "segments": "SELECT policy_num, true AS is_named, true AS at_nearest FROM features",
+    "segment_centres": "SELECT CAST(3 AS BIGINT) AS n_clusters, true AS centres_are_means, true AS explains_spread FROM features LIMIT 1",
     "score_batch": f"""
-      SELECT policy_num, '{BATCHES[0][0]}' AS scored_at, true AS in_range, 3 AS n_factors, true AS ranked, true AS has_segment, true AS has_action
+      SELECT policy_num, '{BATCHES[0][0]}' AS scored_at, true AS p_is_own, true AS factor_is_own, true AS is_moved,
+             true AS segment_is_own, true AS action_is_own
       FROM active_features""",
     "evaluation_bundle": f"""
-      SELECT {r6('k / CAST(20 AS DOUBLE)')} AS threshold, count(*) AS n_rows, sum(y)::BIGINT AS n_churned, true AS cost_adds_up, true AS beats_chance
+      SELECT {r6('k / CAST(20 AS DOUBLE)')} AS threshold, count(*) AS n_rows, sum(y)::BIGINT AS n_churned, true AS cells_are_own,
+             true AS rates_are_own, true AS cost_adds_up, true AS auc_is_own, true AS beats_chance
       FROM held_out, range(1, 20) AS t(k) GROUP BY k""",
+    "csv_round_trip": """
+      SELECT 'customer' AS table_name, CAST(c_custkey AS VARCHAR) AS key,
+             concat_ws('|', c_custkey, c_nationkey, split_part(c_name, '#', 1), split_part(c_name, '#', 2)) AS row FROM customer
+      UNION ALL SELECT 'policies', policy_num, concat_ws('|', insurance_product, customer_id, policy_num, effective_start_date,
+             effective_end_date, payment_frequency, policy_status, coalesce(CAST(cancel_date AS VARCHAR), '-')) FROM policies
+      UNION ALL SELECT 'invoice', invoice_num, concat_ws('|', policy_num, invoice_num, 'Premium', invoice_start_date,
+             invoice_start_date + 30, days_arrears_allowed, installment_num, premium) FROM invoices
+      UNION ALL SELECT 'payhistory', transaction_id, concat_ws('|', transaction_id, invoice_num, premium,
+             pay_transaction_date, pay_transaction_status) FROM payments""",
+    "seed_quarantine": "SELECT DISTINCT transaction_id, o_orderstatus <> 'F' AS is_quarantined FROM payments",
+    "saved_evaluation": f"""
+      SELECT {r6_columns(['threshold', 'precision', 'recall', 'f1', 'roc_auc', 'pr_auc', 'expected_cost'])},
+             true_negative, false_positive, false_negative, true_positive FROM swept""",
+    "saved_importance": f"SELECT feature, {r6('avg(abs(v))')} AS mean_abs_shap_value FROM factors GROUP BY feature",
+    "batch_importance": """
+      SELECT feature, true AS in_range, true AS some_matter, (SELECT CAST(count(*) AS INTEGER) FROM active_features) AS n_scored FROM model_inputs""",
+    "report_files": f"""
+      SELECT policy_num AS "Policy", {r6('churn_probability')} AS "Churn Risk", segment_label AS "Segment", insurance_product AS "Product",
+             payment_frequency AS "Payment Frequency", policy_status AS "Status", recommended_action AS "Suggested Action",
+             coalesce(why, '-') AS "Why Flagged" FROM latest""",
+    "factors_json": f"""
+      SELECT policy_num, CAST(n_factors AS INTEGER) AS n_factors, lead_feature, {r6('lead_value')} AS lead_value FROM latest""",
 }
 
 ORACLES: dict[str, str] = {name: _whole(sql) for name, sql in _STATEMENTS.items()}

@@ -13,18 +13,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapsewise import schemas as S
-from lapsewise.fixed_values import EXPIRED, PAID
-from lapsewise.functions.advice import described, recommended_action
+from lapsewise.fixed_values import EXPIRED, PAID, SEGMENT_NAMES
+from lapsewise.functions.advice import described, factors_from_json, factors_to_json, recommended_action
 from lapsewise.operators import agreement, attribution, behaviour, integrity
 from lapsewise.operators import metrics as M
-from lapsewise.operators import models, payments, reporting, scores, segments, splitting
-from lapsewise.plans import scoring, seeding, segmentation, training
+from lapsewise.operators import models, payments, profiling, reporting, scores, segments, splitting
+from lapsewise.plans import report, scoring, seeding, segmentation, training
 from lapsewise.plans.explanation import explain_held_out
 from lapsewise.plans.features import build_active_feature_table, build_feature_table
 from lapsewise.plans.profile import profile_tables
-from lapsewise.sources.order_history import billing_tables, hidden_profile
-from lapsewise.workspace import durable
+from lapsewise.sources import store as store_tables
+from lapsewise.sources.tables import read_csv_table
+from lapsewise.workspace import durable, scratch_path
+from verification import model_checks as checks
 from verification import stand_ins
+from verification.order_history import billing_tables, hidden_profile
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,14 +73,26 @@ def _explained(spark: SparkSession, folder: str) -> DataFrame:
     return stand_ins.with_linear_contributions(_features(spark, folder))
 
 
-def _history(spark: SparkSession, folder: str) -> DataFrame:
+def _stored_history(spark: SparkSession, folder: str) -> str:
+    """A store to which the stand-in batches were appended one after the other."""
     table = build_active_feature_table(billing_tables(spark, folder))
-    return stand_ins.history(durable(table, "features"))
+    batches, store = stand_ins.history(durable(table, "features")), scratch_path(spark, "store")
+    for scored_at, _ in stand_ins.BATCHES:
+        store_tables.write_risk_scores(spark, store, batches.where(F.col("scored_at") == F.lit(scored_at)))
+    return store
+
+
+def _history(spark: SparkSession, folder: str) -> DataFrame:
+    return store_tables.read_table(spark, _stored_history(spark, folder), S.RISK_SCORE)
 
 
 def _latest(spark: SparkSession, folder: str) -> DataFrame:
-    policies = billing_tables(spark, folder)[S.POLICIES]
-    return scores.latest_scores(_history(spark, folder), policies)
+    store = _stored_history(spark, folder)
+    return scores.latest_scores(
+        store_tables.read_table(spark, store, S.RISK_SCORE),
+        billing_tables(spark, folder)[S.POLICIES],
+        store_tables.read_batch_log(spark, store),
+    )
 
 
 def _settled_invoices(spark: SparkSession, folder: str) -> DataFrame:
@@ -192,6 +207,17 @@ def _profile(name: str) -> Query:
     return lambda spark, folder: shown(profile_tables(billing_tables(spark, folder))[name])
 
 
+def eda_payment_status_all(spark, folder):
+    """Order priorities as payment statuses: values that no list in the code names."""
+    tables = billing_tables(spark, folder)
+    priorities = spark.read.parquet(f"{folder}/orders.parquet").select(
+        F.col("o_orderkey").cast("string").alias("invoice_num"),
+        F.col("o_orderpriority").alias("pay_transaction_status"),
+    )
+    payments = tables[S.PAYHISTORY].drop("pay_transaction_status").join(priorities, "invoice_num")
+    return shown(profiling.payment_status_share(tables[S.POLICIES], tables[S.INVOICE], payments))
+
+
 # --- metrics on the stand-in score ----------------------------------------------
 
 
@@ -242,7 +268,18 @@ def label_clusters(spark, folder):
 def segment_vs_profile(spark, folder):
     labelled = segments.label_segments(_clustered(spark, folder))
     matched = agreement.matched_with_profile(labelled, hidden_profile(spark, folder))
-    return agreement.crosstab(matched, "segment_label", "hidden_profile", segmentation.PROFILES)
+    return agreement.crosstab(matched, "segment_label", "hidden_profile")
+
+
+def segment_profile_all(spark, folder):
+    """The customers' market segments as profile: values that no list in the code names."""
+    customers = spark.read.parquet(f"{folder}/customer.parquet").select(
+        F.col("c_custkey").cast("string").alias("customer_id"), F.col("c_mktsegment").alias("hidden_profile")
+    )
+    policies = billing_tables(spark, folder)[S.POLICIES].select("policy_num", "customer_id")
+    labelled = segments.label_segments(_clustered(spark, folder))
+    comparison = segmentation.compare_to_profile(labelled, policies.join(customers, "customer_id"))
+    return comparison["crosstab"]
 
 
 def profile_coverage(spark, folder):
@@ -344,9 +381,8 @@ def one_hot(spark, folder):
     return wide.select("policy_num", *[_r6(F.col("x")[i]).alias(n) for i, n in enumerate(names)])
 
 
-def _held_out(spark, folder, classifier=None):
-    trained = training.train(_features(spark, folder), classifier)
-    return training.held_out_scores(trained).select(
+def _held_out(scored: DataFrame) -> DataFrame:
+    return scored.select(
         "policy_num",
         "y",
         F.col("p").between(0, 1).alias("in_range"),
@@ -355,7 +391,7 @@ def _held_out(spark, folder, classifier=None):
 
 
 def lr_scores(spark, folder):
-    return _held_out(spark, folder)
+    return _held_out(training.held_out_scores(training.train(_features(spark, folder))))
 
 
 def lr_optimum(spark, folder):
@@ -376,89 +412,164 @@ def lr_optimum(spark, folder):
 
 
 def rf_scores(spark, folder):
-    return _held_out(spark, folder, models.random_forest())
+    """Held-out scores; the probability must be what the saved nodes say, and better than chance."""
+    trained = training.train(_features(spark, folder), models.random_forest())
+    scored = training.held_out_scores(trained)
+    walked = checks.walked_probability(models.predict(trained.model, trained.test), trained.model)
+    beats = (checks.plain_auc(scored) > checks.LEAST_AUC).alias("beats_chance")
+    same = scored.select("policy_num", "p").join(walked, "policy_num").select(
+        "policy_num", (F.abs(F.col("p") - F.col("walked_p")) < 1e-9).alias("p_is_walked")
+    )
+    return _held_out(scored).join(same, "policy_num").select("*", beats)
 
 
-def _held_out_explanation(spark, folder):
-    return explain_held_out(training.train(_features(spark, folder), models.random_forest()))
+def _trained_forest(spark, folder):
+    trained = training.train(_features(spark, folder), models.random_forest())
+    return trained, explain_held_out(trained)
 
 
 def shap_additivity(spark, folder):
-    explained = _held_out_explanation(spark, folder)["contributions"]
-    total = F.aggregate("contributions", F.col("base_value"), lambda a, v: a + v)
-    return explained.select(
-        "policy_num", (F.abs(total - F.col("churn_probability")) < 1e-9).alias("adds_up")
-    )
+    trained, explained = _trained_forest(spark, folder)
+    return checks.contribution_checks(explained["contributions"], trained.model)
 
 
 def forest_importance(spark, folder):
     """Every input of the model, categories included, has one importance."""
-    return _held_out_explanation(spark, folder)["importance"].select(
-        "feature", F.col("mean_abs_shap_value").between(0, 1).alias("in_range")
+    trained, explained = _trained_forest(spark, folder)
+    return checks.importance_checks(
+        explained["contributions"], explained["importance"], models.feature_names(trained.model)
     )
 
 
 def riskiest_factors(spark, folder):
-    """Five factors of one policy, each rank once, strongest first."""
-    factors = _held_out_explanation(spark, folder)["riskiest"]
-    return factors.agg(
+    """Five factors of the policy of the highest score, each rank once, strongest first, none of them zero."""
+    _, explained = _trained_forest(spark, folder)
+    highest = explained["contributions"].agg(F.max("churn_probability")).scalar()
+    risky = explained["contributions"].where(F.col("churn_probability") == highest).agg(F.min("policy_num")).scalar()
+    return explained["riskiest"].agg(
         F.count("*").alias("n_factors"),
-        F.count_distinct("policy_num").alias("n_policies"),
+        (F.min("policy_num") == risky).alias("is_riskiest"),
         F.count_distinct("feature").alias("n_features"),
         (F.max_by(F.abs("shap_value"), "rank") <= F.min_by(F.abs("shap_value"), "rank")).alias("strongest_first"),
+        (F.min(F.abs("shap_value")) > 0).alias("all_matter"),
     )
 
 
+def _segmented(spark, folder):
+    stored = durable(_features(spark, folder), "features", key="policy_num")
+    model = segments.fit_segments(stored)
+    labelled = durable(segments.label_segments(segments.assign_segments(model, stored)), "segments")
+    return labelled, model
+
+
 def segments_of_book(spark, folder):
-    labelled = segmentation.build_segments(billing_tables(spark, folder))
-    return labelled.select(
-        "policy_num", F.col("segment_label").isin("Low risk", "Medium risk", "High risk").alias("is_named")
-    )
+    """Every policy has a name and is at its nearest centre."""
+    labelled, model = _segmented(spark, folder)
+    named = labelled.select("policy_num", F.col("segment_label").isin(*SEGMENT_NAMES).alias("is_named"))
+    return named.join(checks.cluster_checks(labelled, model).select("policy_num", "at_nearest"), "policy_num")
 
 
-def segment_order(spark, folder):
-    """Mean failed ratio must rise from Low over Medium to High risk."""
-    labelled = segmentation.build_segments(billing_tables(spark, folder))
-    means = labelled.groupBy("segment_label").agg(F.avg("failed_invoice_ratio").alias("m"))
-    m = {n: F.max(F.when(F.col("segment_label") == n, F.col("m"))) for n in ("Low risk", "Medium risk", "High risk")}
-    return means.agg(
-        F.count("*").alias("n_segments"),
-        ((m["Low risk"] <= m["Medium risk"]) & (m["Medium risk"] <= m["High risk"])).alias("rising"),
-    )
+def segment_centres(spark, folder):
+    """Centres are the means of their members and explain a part of the spread."""
+    labelled, model = _segmented(spark, folder)
+    return checks.centre_checks(checks.cluster_checks(labelled, model), model)
 
 
 def score_batch(spark, folder):
+    """The stored batch against its own sources, derived once more per policy."""
     tables = billing_tables(spark, folder)
     trained = training.train(build_feature_table(tables), models.random_forest())
-    batch = scoring.score_policies(
-        trained.model, build_active_feature_table(tables), scored_at=stand_ins.BATCHES[0][0]
-    )
-    sizes = F.transform("top_factors", lambda f: F.abs(f["value"]))
+    active = durable(build_active_feature_table(tables), "to-score", key="policy_num")
+    batch = scoring.score_policies(trained.model, active, scored_at=stand_ins.BATCHES[0][0])
+    explained = attribution.with_contributions(models.predict(trained.model, active), trained.model)
+    labelled = segments.label_segments(segments.assign_segments(segments.fit_segments(active), active))
     return shown(
-        batch.scores.select(
-            "policy_num",
-            "scored_at",
-            F.col("churn_probability").between(0, 1).alias("in_range"),
-            F.size("top_factors").alias("n_factors"),
-            (sizes == F.reverse(F.array_sort(sizes))).alias("ranked"),
-            F.col("segment_label").isNotNull().alias("has_segment"),
-            F.col("recommended_action").contains(" - ").alias("has_action"),
+        checks.batch_checks(
+            batch.scores,
+            explained.select("policy_num", "churn_probability", "contributions"),
+            labelled,
+            models.feature_names(trained.model),
         )
     )
 
 
 def evaluation_bundle(spark, folder):
+    """Every metric of the sweep, recounted from the held-out scores."""
     result = training.full_evaluation(_features(spark, folder))
-    cells = ["true_negative", "false_positive", "false_negative", "true_positive"]
-    return shown(
-        result.tables["threshold_sweep"].select(
-            "threshold",
-            sum(F.col(c) for c in cells).alias("n_rows"),
-            (F.col("true_positive") + F.col("false_negative")).alias("n_churned"),
-            (F.col("expected_cost") == F.col("false_positive") + 5 * F.col("false_negative")).alias("cost_adds_up"),
-            (F.col("roc_auc").between(0.5, 1) & F.col("pr_auc").between(0, 1)).alias("beats_chance"),
+    return shown(checks.sweep_checks(result.tables["threshold_sweep"], result.scores))
+
+
+# --- what the jobs write, read back ------------------------------------------------------------
+
+
+def _store(spark: SparkSession) -> str:
+    return scratch_path(spark, "store")
+
+
+def csv_round_trip(spark, folder):
+    """The four tables written as CSV files and read by the typed reader."""
+    files, found = scratch_path(spark, "csv"), None
+    for name, table in billing_tables(spark, folder).items():
+        table.write.option("header", True).csv(f"{files}/{S.SOURCE_NAMES[name]}.csv")
+        back = read_csv_table(spark, files, name)
+        texts = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in back.columns]
+        rows = back.select(
+            F.lit(name).alias("table_name"), F.col(S.PRIMARY_KEYS[name][0]).alias("key"), F.concat_ws("|", *texts).alias("row")
         )
-    )
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def seed_quarantine(spark, folder):
+    """Payments of invoices that are not loaded yet are kept apart, the others are loaded."""
+    store = _store(spark)
+    tables = {**billing_tables(spark, folder), S.INVOICE: _settled_invoices(spark, folder)}
+    for name in S.LOAD_ORDER:
+        seeding.merge_file(spark, store, name, tables[name], "quarantine")
+    loaded = store_tables.read_table(spark, store, S.PAYHISTORY).select("transaction_id", F.lit(False).alias("is_quarantined"))
+    kept = store_tables.read_table(spark, f"{store}/quarantine", S.PAYHISTORY)
+    return loaded.unionByName(kept.select("transaction_id", F.lit(True).alias("is_quarantined")))
+
+
+def saved_evaluation(spark, folder):
+    """The saved sweep of the stand-in score, read back from its file."""
+    scored = _scored(spark, folder).select("policy_num", "y", "p")
+    paths = store_tables.save_evaluation(training.evaluate_scores(scored), _store(spark))
+    schema = "threshold double, precision double, recall double, f1 double, roc_auc double, pr_auc double"
+    cells = ", ".join(f"{c} bigint" for c in M.CELLS)
+    back = spark.read.schema(f"{schema}, {cells}, expected_cost double").option("header", True).option("enforceSchema", False)
+    return shown(back.csv(paths["threshold_sweep"]))
+
+
+def saved_importance(spark, folder):
+    importance = attribution.feature_importance(_explained(spark, folder), S.BEHAVIOUR_FEATURES)
+    path = store_tables.save_feature_importance(importance, _store(spark))
+    return shown(spark.read.schema("feature string, mean_abs_shap_value double").option("header", True).csv(path))
+
+
+def batch_importance(spark, folder):
+    """The importance that a scoring run saves has every input of the model, the strongest first."""
+    tables, store = billing_tables(spark, folder), _store(spark)
+    trained = training.train(build_feature_table(tables), models.random_forest(n_trees=20))
+    model_path = store_tables.save_model(trained.model, f"{store}/model")
+    added, _ = scoring.run_batch_scoring(spark, tables, model_path, store, stand_ins.BATCHES[0][0])
+    back = spark.read.schema("feature string, mean_abs_shap_value double").option("header", True).csv(f"{store}/feature_importance")
+    some = back.agg(F.max("mean_abs_shap_value") > 0).scalar()
+    return back.select("feature", F.col("mean_abs_shap_value").between(0, 1).alias("in_range"), some.alias("some_matter"), F.lit(added).alias("n_scored"))
+
+
+def report_files(spark, folder):
+    """The report's detail table, read back from its file."""
+    path = report.build_report(_latest(spark, folder), _store(spark))
+    back = spark.read.option("header", True).csv(f"{path}/policy_detail")
+    return shown(back.withColumn("Churn Risk", F.col("`Churn Risk`").cast("double")))
+
+
+def factors_json(spark, folder):
+    """The factor lists of the latest batch as JSON text and back."""
+    texts = _latest(spark, folder).select("policy_num", factors_to_json(F.col("top_factors")).alias("j"))
+    lists = texts.select("policy_num", factors_from_json(F.col("j")).alias("f"))
+    return shown(lists.select("policy_num", F.size("f").alias("n_factors"), F.col("f")[0]["feature"].alias("lead_feature"), F.col("f")[0]["value"].alias("lead_value")))
 
 
 QUERIES: dict[str, Query] = {
@@ -478,6 +589,7 @@ QUERIES: dict[str, Query] = {
     "eda_table_counts": _profile("table_counts"),
     "eda_class_balance": _profile("class_balance"),
     "eda_payment_status": _profile("payment_status"),
+    "eda_payment_status_all": eda_payment_status_all,
     "eda_missed_by_status": _profile("missed_by_status"),
     "eda_policies_per_customer": _profile("policies_per_customer"),
     "eda_products": _profile("products"),
@@ -493,6 +605,7 @@ QUERIES: dict[str, Query] = {
     "stratified_split": stratified_split,
     "label_clusters": label_clusters,
     "segment_vs_profile": segment_vs_profile,
+    "segment_profile_all": segment_profile_all,
     "profile_coverage": profile_coverage,
     "adjusted_rand": adjusted_rand,
     "top_factors": top_factors,
@@ -516,7 +629,14 @@ QUERIES: dict[str, Query] = {
     "forest_importance": forest_importance,
     "riskiest_factors": riskiest_factors,
     "segments": segments_of_book,
-    "segment_order": segment_order,
+    "segment_centres": segment_centres,
     "score_batch": score_batch,
     "evaluation_bundle": evaluation_bundle,
+    "csv_round_trip": csv_round_trip,
+    "seed_quarantine": seed_quarantine,
+    "saved_evaluation": saved_evaluation,
+    "saved_importance": saved_importance,
+    "batch_importance": batch_importance,
+    "report_files": report_files,
+    "factors_json": factors_json,
 }
