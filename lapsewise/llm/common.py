@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,14 +15,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-#: Entries kept by a per-task word cache before it is emptied.
-CACHE_WORDS = 400_000
+_shipped: set[str] = set()
+
+#: Entries of a per-task word cache, and as many older ones.
+CACHE_WORDS = 250_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="lapsewise-")) / f"lapsewise-code-{uuid.uuid4().hex}.zip"
+    with zipfile.ZipFile(archive, "w") as file:
+        for source in sorted(package.rglob("*.py")):
+            file.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; a folder of our own only where none is set."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -107,15 +126,19 @@ def words(text: str, lower: bool = False) -> list[bytes]:
 
 
 class Cache(dict):
-    """A bounded memory of ``compute(key)``; emptied when full, so a long task stays small."""
+    """A bounded memory of ``compute(key)``. When it is full it becomes the older one, from which
+    what is still in use comes back, so that common keys stay and a long task stays small."""
 
     def __init__(self, compute: Callable, limit: int = CACHE_WORDS):
         super().__init__()
-        self.compute, self.limit = compute, limit
+        self.compute, self.limit, self.older = compute, limit, {}
 
     def __missing__(self, key):
-        value = self.compute(key)
+        value = self.older.pop(key, None)
+        if value is None:
+            value = self.compute(key)
         if len(self) >= self.limit:
+            self.older = dict(self)
             self.clear()
         self[key] = value
         return value

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapsewise.llm.common import arrow_schema, blocks, shuffle_tasks, stored, words
+from lapsewise.llm.common import arrow_schema, blocks, stored, words
 
 #: Context classes, also the classes by which words are dealt; and how many share a row of sums.
 CONTEXTS, CHUNK = 1 << 16, 1 << 12

@@ -9,10 +9,9 @@ remember them. Texts with white space around a space are encoded in one go inste
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterator
 
-import numpy as np
-
 from lapsewise.llm.common import Cache
 
 #: str's white space includes all that the tokenizers' patterns call white space.
@@ -35,21 +34,16 @@ def slices(text: str, size: int) -> Iterator[str]:
 
 
 class UnitEncoder:
-    """Token ids of texts as packed little-endian unsigned 32-bit numbers.
-
-    ``encode`` gives the ids of any string; ``whole`` says which texts must go to it uncut.
-    """
+    """Token ids of texts as packed unsigned 32-bit numbers. ``encode`` gives the ids of any string."""
 
-    def __init__(self, encode: Callable[[str], list[int]], whole: Callable[[str], bool] = lambda text: False):
-        self.encode, self.whole = encode, whole
-        self.after_space = Cache(lambda unit: self.pack(" " + unit))
+    def __init__(self, encode: Callable[[str], list[int]]):
+        self.encode = encode
+        self.after_space = Cache(lambda unit: array("I", encode(" " + unit)).tobytes())
 
     def pack(self, text: str) -> bytes:
-        return np.array(self.encode(text), "<u4").tobytes()
+        return array("I", self.encode(text)).tobytes()
 
     def ids(self, text: str, size: int = 1_000_000) -> bytes:
-        if self.whole(text):
-            return self.pack(text)
         if len(text) <= size:
             return self._ids(text)
         return b"".join(map(self._ids, slices(text, size)))
