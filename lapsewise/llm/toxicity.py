@@ -2,7 +2,7 @@
 
 Words are lower-cased and freed of ASCII punctuation. A word's embedding is the sum of three hashed
 ones: of the word and of its first four and five bytes, so that inflected forms share what they learn.
-Filters of several widths slide over the words, each keeps its greatest response in the text (max
+One dimension of an embedding holds counted log odds, the others are learned. Filters of several widths slide over the words, each keeps its greatest response in the text (max
 pooling), and a logistic layer weighs them. Training sees a bounded sample of labelled rows; scoring
 reads whole texts in bounded blocks that overlap, so no filter misses a phrase.
 
@@ -26,6 +26,8 @@ BUCKETS, DIMENSIONS, FILTERS, WIDTHS = 1 << 16, 16, 16, (1, 2, 3)
 CUT = 0.3
 #: Bound of the training sample: labelled rows of each class.
 SAMPLE_PER_CLASS = 3000
+#: Texts of the usual mix that are added to the counts behind a bucket's log odds.
+PSEUDO_TEXTS = 5
 #: Share of the sample that is held back to set the thresholds.
 HELD_BACK = 0.25
 #: Positives that a language needs to get its own threshold.
@@ -35,6 +37,8 @@ WORDS_AT_ONCE, BYTES_AT_ONCE = 50_000, 1 << 19
 #: Leading bytes of a word that have embeddings of their own.
 PREFIXES = (4, 5)
 PARTS = 1 + len(PREFIXES)
+#: Empty words after a text. Filters are read up to the first of them, so none reaches the next text.
+GAP = max(WIDTHS)
 
 _BASE = 0x9E3779B97F4A7C15
 _POWERS = np.cumprod(np.r_[np.uint64(1), np.full(BYTES_AT_ONCE, np.uint64(_BASE))])
@@ -100,7 +104,7 @@ class Scorer:
         for part in range(1, PARTS):
             vectors += self.model.embedding[words[:, part]]
         responses = vectors @ self.flat
-        ends = np.r_[starts[1:], len(words)]
+        ends = np.r_[starts[1:], len(words)] - (GAP - 1)
         found, column = np.empty((len(texts), len(WIDTHS) * FILTERS), np.float32), 0
         for n, width in enumerate(self.model.filters):
             response = responses[:, column : column + FILTERS]
@@ -134,29 +138,48 @@ class Scorer:
 
 
 def laid_out(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed texts end to end, each followed by empty words so that no filter spans two, and where
-    each begins."""
-    empty = np.full((max(WIDTHS) - 1, PARTS), BUCKETS, np.int32)
+    """Hashed texts end to end, each followed by GAP empty words, and where each begins."""
+    empty = np.full((GAP, PARTS), BUCKETS, np.int32)
     sizes = [len(t) + len(empty) for t in texts]
     return np.concatenate([x for t in texts for x in (t, empty)]), np.cumsum([0, *sizes[:-1]])
 
 
-def train(texts: list[np.ndarray], labels: np.ndarray, epochs: int = 5, batch: int = 64, rate: float = 0.01, seed: int = 7) -> Model:
+def log_odds(texts: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """Of each bucket: how much more likely a text that has it is toxic, shrunk towards no difference by
+    PSEUDO_TEXTS texts of the usual mix."""
+    counts = np.zeros((2, BUCKETS + 1))
+    for text, label in zip(texts, labels):
+        counts[int(label)][np.unique(text)] += 1
+    usual = np.clip(labels.mean() if len(labels) else 0.5, 0.01, 0.99)
+    rate = (counts[1] + PSEUDO_TEXTS * usual) / (counts.sum(axis=0) + PSEUDO_TEXTS)
+    odds = np.log(rate / (1 - rate)) - np.log(usual / (1 - usual))
+    odds[BUCKETS] = 0
+    return odds.astype(np.float32)
+
+
+def train(texts: list[np.ndarray], labels: np.ndarray, epochs: int = 5, batch: int = 64, rate: float = 0.005, seed: int = 7) -> Model:
     """Adam on the logistic loss, both classes weighing the same; only winning responses and the
-    embeddings beneath them get a gradient."""
+    embeddings beneath them get a gradient.
+
+    The first dimension of an embedding is not learned but counted: its log odds. While training, a
+    text reads log odds counted on the other half of the texts, so that none sees its own label.
+    """
     rng = np.random.default_rng(seed)
     rows, numbers = np.unique(laid_out(texts)[0], axis=0, return_inverse=True)
-    numbers, gap = numbers.ravel(), max(WIDTHS) - 1
-    numbered = np.split(numbers, np.cumsum([len(t) + gap for t in texts])[:-1])
+    numbered = np.split(numbers.ravel(), np.cumsum([len(t) + GAP for t in texts])[:-1])
     total, real = len(WIDTHS) * FILTERS, np.float32
+    half = rng.permutation(len(texts)) % 2
+    counted = [log_odds([t for t, h in zip(texts, half) if h != side], labels[half != side]) for side in (0, 1)]
     params = {
-        "embedding": rng.normal(0, 0.2, (BUCKETS + 1, DIMENSIONS)).astype(real),
+        "embedding": rng.normal(0, 0.05, (BUCKETS + 1, DIMENSIONS)).astype(real),
         **{w: rng.normal(0, (w * DIMENSIONS) ** -0.5, (w, DIMENSIONS, FILTERS)).astype(real) for w in WIDTHS},
         "bias": np.zeros(total, real),
         "weight": rng.normal(0, 0.3, total).astype(real),
         "intercept": np.zeros(1, real),
     }
     params["embedding"][BUCKETS] = 0
+    for w in WIDTHS:  # a filter that hears the log odds of its first word, whatever the others say
+        params[w][0, 0, 0] = 1.0
     first = {k: np.zeros_like(v) for k, v in params.items()}
     second = {k: np.zeros_like(v) for k, v in params.items()}
     positives = max(int(labels.sum()), 1)
@@ -164,14 +187,16 @@ def train(texts: list[np.ndarray], labels: np.ndarray, epochs: int = 5, batch: i
     step = 0
     for _ in range(epochs):
         order = rng.permutation(len(texts))
-        for begin in range(0, len(order), batch):
-            chosen = order[begin : begin + batch]
+        order = order[np.argsort(half[order], kind="stable")]
+        cuts = [c for side in (0, 1) for c in np.array_split(order[half[order] == side], max(1, -(-int((half == side).sum()) // batch)))]
+        for chosen in [cuts[i] for i in rng.permutation(len(cuts)) if len(cuts[i])]:
             words = np.concatenate([numbered[i] for i in chosen])
             starts = np.cumsum([0, *(len(numbered[i]) for i in chosen[:-1])])
             used, inside = np.unique(words, return_inverse=True)
             vectors = params["embedding"][rows[used]].sum(axis=1)
+            vectors[:, 0] = counted[half[chosen[0]]][rows[used]].sum(axis=1)
             pooled, winners = [], []
-            ends = np.r_[starts[1:], len(words)]
+            ends = np.r_[starts[1:], len(words)] - (GAP - 1)
             for w in WIDTHS:
                 responses = (vectors @ params[w].transpose(1, 0, 2).reshape(DIMENSIONS, -1)).reshape(len(used), w, FILTERS)
                 response = responses[inside, 0]
@@ -206,6 +231,7 @@ def train(texts: list[np.ndarray], labels: np.ndarray, epochs: int = 5, batch: i
                 second[k][at] += real(0.001) * (grad**2 - second[k][at])
                 params[k][at] -= real(scale) * first[k][at] / (np.sqrt(second[k][at]) + real(1e-8))
             params["embedding"][BUCKETS] = 0
+    params["embedding"][:, 0] = log_odds(texts, labels)
     return Model(params["embedding"], {w: params[w] for w in WIDTHS}, params["bias"], params["weight"], float(params["intercept"][0]))
 
 
