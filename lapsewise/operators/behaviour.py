@@ -8,12 +8,7 @@ from pyspark.sql import functions as F
 
 from lapsewise.fixed_values import ACTIVE, CANCELLED
 from lapsewise.functions.scalars import is_value, whole_days
-from lapsewise.operators.ordering import running_totals
 from lapsewise.operators.payments import invoice_summary
-from lapsewise.workspace import durable
-
-# Above this many invoices a policy is no longer sorted inside one task.
-HOT_POLICY_INVOICES = 1_000_000
 
 PAYMENT_FEATURES = [
     "total_invoices",
@@ -30,99 +25,80 @@ PAYMENT_FEATURES = [
 ]
 
 
-def hot_policies(invoices: DataFrame, limit: int = HOT_POLICY_INVOICES) -> DataFrame | None:
-    """Policies with more than ``limit`` invoices, or None when there are none.
-
-    Reads one column and combines before the shuffle. At most one policy per
-    ``limit`` invoices can qualify, so the result is small enough to broadcast:
-    a million rows for 10 ** 12 invoices.
-    """
-    counted = (
-        invoices.where(F.col("policy_num").isNotNull())
-        .groupBy("policy_num")
-        .agg(F.count("*").alias("invoices_of_policy"))
-        .where(F.col("invoices_of_policy") > limit)
-    )
-    return None if counted.isEmpty() else durable(counted, "hot-policies")
+FLAGS = {"failed": "had_failed_attempt", "late": "was_paid_late"}
 
 
-def with_early_half(summary: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """Mark each invoice as in the early half of its policy's installments or not.
+def per_installment(summary: DataFrame) -> DataFrame:
+    """Invoices counted per policy and installment, with their flags by invoice number.
 
-    The early half holds ceil(n / 2) invoices, by installment (unknown last),
-    then invoice number. Ordinary policies are ranked by a window. ``hot``
-    policies are ranked by running totals instead, over many tasks; the summary
-    is then stored first, because both ways read it.
+    Combines before the shuffle, and a policy with very many invoices spreads
+    over as many keys as it has installments.
     """
-    summary = summary.where(F.col("policy_num").isNotNull())
-
-    def early(position: Column, count: Column) -> Column:
-        return (position < F.ceil(count / 2)).alias("is_early")
-
-    def ranked_in_task(rows: DataFrame) -> DataFrame:
-        policy = W.partitionBy("policy_num")
-        order = policy.orderBy(F.col("installment_num").asc_nulls_last(), "invoice_num")
-        return rows.select(
-            "*", early(F.row_number().over(order) - 1, F.count("*").over(policy))
-        )
-
-    if hot is None:
-        return ranked_in_task(summary)
-
-    summary = durable(summary, "invoice-summary")
-    # broadcast, so that a hot policy's rows are never shuffled together
-    hot = F.broadcast(hot)
-    ordinary = ranked_in_task(
-        summary.join(hot, "policy_num", "left_anti").select(summary.columns)
-    )
-    spread = running_totals(
-        summary.join(hot, "policy_num")
-        .withColumn("_undated", F.col("installment_num").isNull())
-        .withColumn("position", F.lit(1).cast("bigint")),
-        order_by=["_undated", "installment_num", "invoice_num"],
-        totals=["position"],
-        within=["policy_num"],
-    )
-    return ordinary.unionByName(
-        spread.select(
-            *summary.columns, early(F.col("position_before"), F.col("invoices_of_policy"))
-        )
-    )
 
+    def count_of(flag: str) -> Column:
+        return F.count(F.when(F.col(flag), 1))
 
-def trend_deltas() -> list[Column]:
-    """Recent-half rate minus early-half rate; 0 when there is no recent half."""
-    early = F.col("is_early")
+    return summary.where(F.col("policy_num").isNotNull()).groupBy("policy_num", "installment_num").agg(
+        F.count("*").alias("n"),
+        count_of("was_missed").alias("missed"),
+        *[count_of(flag).alias(name) for name, flag in FLAGS.items()],
+        F.count("max_days_late").alias("judged"),
+        F.sum("max_days_late").alias("days_late"),
+        F.max("max_days_late").alias("most_days_late"),
+        F.collect_list(F.struct("invoice_num", *FLAGS.values())).alias("invoices"),
+    )
 
-    def delta(flag: str) -> Column:
-        rate = F.col(flag).cast("double")
-        return F.coalesce(F.avg(F.when(~early, rate)) - F.avg(F.when(early, rate)), F.lit(0.0))
 
-    return [
-        delta("had_failed_attempt").alias("trend_failed_rate_delta"),
-        delta("was_paid_late").alias("trend_late_rate_delta"),
-    ]
+def policy_features(summary: DataFrame) -> DataFrame:
+    """Collapse the invoice summary to one row per policy with invoices.
 
+    The trend is the recent half's rate less the early half's, 0 when there is
+    no recent half. The early half holds ceil(n / 2) invoices, by installment
+    (unknown last), then invoice number: whole installments, and of the one in
+    which it ends the first few invoices. Only there are invoices put in order.
+    """
+    policy = W.partitionBy("policy_num")
+    earlier = policy.orderBy(F.col("installment_num").asc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
+    ahead = per_installment(summary).withColumns(
+        {
+            "half": F.ceil(F.sum("n").over(policy) / 2),
+            "before": F.coalesce(F.sum("n").over(earlier), F.lit(0)),
+        }
+    )
+    wanted = F.least(F.greatest(F.col("half") - F.col("before"), F.lit(0)), F.col("n"))
+
+    def early(name: str) -> Column:
+        first = F.slice(F.array_sort("invoices"), F.lit(1), wanted.cast("int"))
+        in_part = F.size(F.filter(first, lambda invoice: invoice[FLAGS[name]])).cast("bigint")
+        return F.when(wanted == F.col("n"), F.col(name)).when(wanted == 0, F.lit(0)).otherwise(in_part)
+
+    summed = ahead.groupBy("policy_num").agg(
+        *[F.sum(c).alias(c) for c in ("n", "missed", *FLAGS, "judged", "days_late")],
+        F.max("most_days_late").alias("most_days_late"),
+        F.max("half").alias("half"),
+        *[F.sum(early(name)).alias(f"early_{name}") for name in FLAGS],
+    )
+    n, half = F.col("n"), F.col("half")
 
-def policy_features(summary: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """Collapse the invoice summary to one row per policy with invoices."""
-    halved = with_early_half(summary, hot)
-    total = F.count("*")
+    def counted(name: str) -> list[Column]:
+        return [
+            F.col(name).alias(f"{name}_invoice_count"),
+            (F.col(name) / n).alias(f"{name}_invoice_ratio"),
+        ]
 
-    def count_of(flag: str) -> Column:
-        return F.count(F.when(F.col(flag), 1))
+    def trend(name: str) -> Column:
+        recent = (F.col(name) - F.col(f"early_{name}")) / F.when(n > half, n - half)
+        return F.coalesce(recent - F.col(f"early_{name}") / half, F.lit(0.0))
 
-    return halved.groupBy("policy_num").agg(
-        total.alias("total_invoices"),
-        count_of("was_missed").alias("missed_invoice_count"),
-        (count_of("was_missed") / total).alias("missed_invoice_ratio"),
-        count_of("had_failed_attempt").alias("failed_invoice_count"),
-        (count_of("had_failed_attempt") / total).alias("failed_invoice_ratio"),
-        count_of("was_paid_late").alias("late_invoice_count"),
-        (count_of("was_paid_late") / total).alias("late_invoice_ratio"),
-        F.coalesce(F.avg("max_days_late"), F.lit(0.0)).alias("avg_days_late"),
-        F.coalesce(F.max("max_days_late").cast("double"), F.lit(0.0)).alias("max_days_late"),
-        *trend_deltas(),
+    return summed.select(
+        "policy_num",
+        n.alias("total_invoices"),
+        *counted("missed"),
+        *counted("failed"),
+        *counted("late"),
+        F.coalesce(F.col("days_late") / F.when(F.col("judged") > 0, F.col("judged")), F.lit(0.0)).alias("avg_days_late"),
+        F.coalesce(F.col("most_days_late").cast("double"), F.lit(0.0)).alias("max_days_late"),
+        *[trend(name).alias(f"trend_{name}_rate_delta") for name in FLAGS],
     )
 
 
@@ -141,14 +117,12 @@ def policy_static(policies: DataFrame) -> DataFrame:
     )
 
 
-def feature_table(
-    policies: DataFrame, invoices: DataFrame, payments: DataFrame, hot: DataFrame | None = None
-) -> DataFrame:
+def feature_table(policies: DataFrame, invoices: DataFrame, payments: DataFrame) -> DataFrame:
     """One row per policy. A policy without invoices has zero payment behaviour.
 
     Only the payment columns are filled; an unknown tenure stays NULL.
     """
-    behaviour = policy_features(invoice_summary(invoices, payments), hot)
+    behaviour = policy_features(invoice_summary(invoices, payments))
     return (
         policy_static(policies)
         .join(behaviour, "policy_num", "left")

@@ -12,23 +12,16 @@ from lapsewise.operators import behaviour as B
 Tables = Mapping[str, DataFrame]
 
 
-def build_feature_table(tables: Tables, hot_limit: int = B.HOT_POLICY_INVOICES) -> DataFrame:
-    invoices = tables[S.INVOICE]
-    return B.feature_table(
-        tables[S.POLICIES],
-        invoices,
-        tables[S.PAYHISTORY],
-        B.hot_policies(invoices, hot_limit),
-    )
+def build_feature_table(tables: Tables) -> DataFrame:
+    return B.feature_table(tables[S.POLICIES], tables[S.INVOICE], tables[S.PAYHISTORY])
 
 
-def build_active_feature_table(tables: Tables, hot_limit: int = B.HOT_POLICY_INVOICES) -> DataFrame:
+def build_active_feature_table(tables: Tables) -> DataFrame:
     """Features of the active policies only.
 
     Every feature belongs to one policy, so invoices of other policies are
-    dropped before the two big shuffles instead of after them.
+    dropped before they are summed up instead of after.
     """
     active = B.active_policies(tables[S.POLICIES])
     invoices = tables[S.INVOICE].join(active.select("policy_num"), "policy_num", "left_semi")
-    hot = B.hot_policies(tables[S.INVOICE], hot_limit)
-    return B.feature_table(active, invoices, tables[S.PAYHISTORY], hot)
+    return B.feature_table(active, invoices, tables[S.PAYHISTORY])

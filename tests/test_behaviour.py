@@ -5,9 +5,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from lapsewise import schemas as S
 from lapsewise.operators import behaviour as B
 from lapsewise.operators import payments as P
 from lapsewise.operators.ordering import running_totals
+from lapsewise.plans.features import build_active_feature_table, build_feature_table
 from tests.fixtures import invoices, payments, policies
 
 
@@ -92,22 +94,30 @@ def brute_force_deltas(rows):
     return out
 
 
-def test_hot_policies_are_spread_with_the_same_result(spark):
-    """One policy holds a third of the rows, with repeated and unknown installments."""
+@pytest.mark.parametrize("unknown", [1, 5])
+def test_trend_of_a_policy_with_a_third_of_the_invoices(spark, unknown):
+    """Repeated and unknown installments, so that the half ends inside one of them."""
     rng = random.Random(3)
     rows = []
     for n in range(900):
         policy = "HOT" if n % 3 == 0 else f"P{rng.randrange(40)}"
-        installment = rng.choice([None, 1, 1, 1, rng.randrange(30)])
+        installment = rng.choice([*[None] * unknown, 1, 1, 1, rng.randrange(30)])
         rows.append((policy, installment, f"I{n}", rng.random() < 0.4, False))
     data = summary(spark, rows)
     wanted = brute_force_deltas(rows)
-    for limit in (10**6, 100, 3):
-        hot = B.hot_policies(data, limit)
-        assert (hot is None) == (limit == 10**6)
-        got = {r.policy_num: r.trend_failed_rate_delta for r in B.policy_features(data, hot).collect()}
-        assert got.keys() == wanted.keys()
-        assert all(abs(got[p] - wanted[p]) < 1e-12 for p in wanted)
+    got = {r.policy_num: r.trend_failed_rate_delta for r in B.policy_features(data).collect()}
+    assert got.keys() == wanted.keys()
+    assert all(abs(got[p] - wanted[p]) < 1e-12 for p in wanted)
+
+
+def test_no_job_runs_while_a_plan_is_built(spark):
+    pol = policies(spark, [("P1", "Active", "2024-01-01", "2025-01-01", None)])
+    tables = {S.POLICIES: pol, S.INVOICE: invoices(spark, []), S.PAYHISTORY: payments(spark, [])}
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    build_active_feature_table(tables)
+    build_feature_table(tables)
+    assert len(tracker.getJobIdsForGroup(None)) == before
 
 
 def test_running_totals_match_a_plain_loop(spark):
@@ -177,8 +187,8 @@ def test_feature_plan_stays_in_the_jvm_with_few_exchanges(spark, capsys):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
-    # payments and invoices by invoice, summary and policies by policy
-    assert plan.count("Exchange hashpartitioning") == 4
+    # payments and invoices by invoice, summary by installment, then by policy, policies by policy
+    assert plan.count("Exchange hashpartitioning") == 5
 
 
 def test_lateness_join_splits_a_hot_invoice(spark):

@@ -264,7 +264,6 @@ _STATEMENTS: dict[str, str] = {
     "missed_invoices": "SELECT invoice_num, policy_num FROM invoices WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE CAST(l_orderkey AS VARCHAR) = invoice_num)",
     "policy_features": f"SELECT policy_num, {', '.join(COUNTS)}, {r6_columns(RATIOS)} FROM behaviour",
     "trend_delta": _TRENDS,
-    "trend_delta_hot": _TRENDS,
     "policy_static": f"SELECT {STATIC} FROM static",
     "feature_table": f"SELECT {_FEATURES} FROM features",
     "active_policies": f"SELECT {_FEATURES} FROM active_features",

@@ -162,10 +162,10 @@ def missed_invoices(spark, folder):
     return payments.missed_invoices(tables[S.INVOICE], tables[S.PAYHISTORY]).select("invoice_num", "policy_num")
 
 
-def _policy_features(spark, folder, hot_limit=behaviour.HOT_POLICY_INVOICES):
+def _policy_features(spark, folder):
     tables = billing_tables(spark, folder)
     summary = payments.invoice_summary(tables[S.INVOICE], tables[S.PAYHISTORY])
-    return behaviour.policy_features(summary, behaviour.hot_policies(tables[S.INVOICE], hot_limit))
+    return behaviour.policy_features(summary)
 
 
 def policy_features(spark, folder):
@@ -178,16 +178,6 @@ def trend_delta(spark, folder):
     )
 
 
-def trend_delta_hot(spark, folder):
-    """The same result when every policy above five invoices counts as hot."""
-    return shown(
-        _policy_features(spark, folder, hot_limit=5),
-        "policy_num",
-        "trend_failed_rate_delta",
-        "trend_late_rate_delta",
-    )
-
-
 def policy_static(spark, folder):
     return behaviour.policy_static(billing_tables(spark, folder)[S.POLICIES])
 
@@ -582,7 +572,6 @@ QUERIES: dict[str, Query] = {
     "missed_invoices": missed_invoices,
     "policy_features": policy_features,
     "trend_delta": trend_delta,
-    "trend_delta_hot": trend_delta_hot,
     "policy_static": policy_static,
     "feature_table": feature_table,
     "active_policies": active_policies,
