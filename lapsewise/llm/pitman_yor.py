@@ -175,15 +175,15 @@ def class_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, customers = np.zeros(CONTEXTS, np.int64), np.zeros(CONTEXTS, np.int64)
         for batch in batches:
-            held = batch.column(2).to_pylist()
-            at = 0
+            held, at = batch.column(2).to_pylist(), 0
             for _, texts in blocks(batch):
-                for text in texts:
-                    counts = np.bincount(word_class(hashes(text)), minlength=1)
-                    tokens[: len(counts)] += counts
-                    if not held[at]:  # every token is once the context of the next, the end of the first
-                        customers[: len(counts)] += counts
-                    at += 1
+                classes = [word_class(hashes(text)) for text in texts]
+                tokens += np.bincount(np.concatenate(classes), minlength=CONTEXTS)
+                # every token is once the context of the next, the end of the first
+                learned = [c for c, h in zip(classes, held[at : at + len(classes)]) if not h]
+                if learned:
+                    customers += np.bincount(np.concatenate(learned), minlength=CONTEXTS)
+                at += len(classes)
         found = [(kind, chunk, raw) for kind, values in enumerate((tokens, customers)) for chunk, raw in _chunks(values)]
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), out)], schema=out)
