@@ -24,7 +24,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     The model learns from all labelled documents of the table ``documents``. Null and empty texts
     have a score like any other."""
-    model = toxicity.fit(toxicity.labelled_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+    model = toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return toxicity.kept(docs, model)
 
 

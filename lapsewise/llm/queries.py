@@ -47,7 +47,7 @@ def _with_decimal(rows: DataFrame) -> DataFrame:
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     fold = bucket_of("doc_id", 4)
-    model = toxicity.fit(toxicity.labelled_rows(docs.filter(~fold.eqNullSafe(2)), table(spark, folder, "labels")))
+    model = toxicity.fit(docs, table(spark, folder, "labels").filter(~fold.eqNullSafe(2)))
     return toxicity.score(docs, model).select(
         "doc_id", fold.eqNullSafe(2).alias("held_out"), "score", (F.col("score") >= toxicity.CUT).cast("int").alias("predicted")
     )

@@ -246,23 +246,29 @@ def best_cut(scores: np.ndarray, labels: np.ndarray) -> float:
     return float((scores[order][best] + below) / 2)
 
 
-def fit(labelled: DataFrame, sample_per_class: int = SAMPLE_PER_CLASS) -> Model | None:
-    """A model from (doc_id, text, lang, toxic); None if one of the classes is missing.
+def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER_CLASS) -> Model | None:
+    """A model from the text and lang of ``docs`` and the toxic of ``labels``; None if a class is missing.
 
-    At most about ``sample_per_class`` rows of each class, chosen by a hash, are brought to the driver;
-    rows with a null label or text are not used.
+    A hash of the id chooses about ``sample_per_class`` labelled ids of each class. That bounded list is
+    broadcast, so the texts are scanned but never shuffled, and only the chosen ones reach the driver.
+    Null labels, ids and texts are not used; of a repeated id the greatest label and one text count.
     """
-    known = labelled.filter(F.col("toxic").isin(0, 1) & F.col("text").isNotNull())
-    counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+    marks = marks.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    counts = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
     if set(counts) != {0, 1}:
         return None
     share = F.when(F.col("toxic") == 1, min(1.0, sample_per_class / counts[1])).otherwise(min(1.0, sample_per_class / counts[0]))
     draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("toxicity")), F.lit(1_000_000)) / 1_000_000
-    rows = known.filter(draw < share).select("doc_id", "text", "lang", "toxic").toPandas().sort_values(["doc_id", "text"])
+    texts_of = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    found = texts_of.filter("text is not null").join(F.broadcast(marks.filter(draw < share)), "doc_id").dropDuplicates(["doc_id"])
+    rows = found.toPandas().sort_values("doc_id")
     texts = [hashed(t) for t in rows["text"]]
     labels = rows["toxic"].to_numpy(np.float64)
     langs = rows["lang"].to_numpy(object)
     held = np.random.default_rng(11).permutation(len(texts)) < HELD_BACK * len(texts)
+    if len(set(labels)) < 2:
+        return None
     if len(set(labels[held])) < 2 or len(set(labels[~held])) < 2:
         held[:] = False
     model = train([t for t, h in zip(texts, held) if not h], labels[~held])
@@ -312,15 +318,6 @@ def threshold_of(model: Model | None, lang: str = "lang"):
     return column
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, lang, toxic): documents that have a label."""
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
-    )
-    marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("toxic is not null")
-    return rows.join(marks, "doc_id")
-
-
 def kept(docs: DataFrame, model: Model | None) -> DataFrame:
     """The rows of ``docs`` (with text and lang) that score below the threshold of their language."""
     if model is None:
