@@ -22,7 +22,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapsewise.llm.common import arrow_schema, blocks, id_and_text, map_texts, shuffle_tasks
+from lapsewise.llm.common import arrow_schema, blocks, id_and_text, shuffle_tasks
 from lapsewise.llm.units import UnitEncoder
 
 #: A match ending so close to a chunk's end may change when more text follows ("'r" and "'re").
@@ -131,25 +131,41 @@ def _pieces(cut: DataFrame, chunk_chars: int) -> DataFrame:
     return cut.select("key", "text", "chunks").mapInArrow(run, schema)
 
 
-def _encoded(rows: DataFrame, raw, pattern: str) -> DataFrame:
-    """The column ``text`` of ``rows``, their last, replaced by ``ids``."""
+def _arrays(packed: list[bytes]) -> pa.Array:
+    """Packed ids as lists of numbers."""
+    offsets = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<i4")))
+
+
+def _decoded(ids: pa.Array, token) -> pa.Array:
+    """The bytes of each list of ids, joined token by token."""
+    numbers, offsets = ids.flatten().to_pylist(), ids.offsets.to_pylist()
+    start = offsets[0]
+    return pa.array([b"".join(map(token, numbers[a - start : b - start])) for a, b in zip(offsets, offsets[1:])], pa.binary())
+
+
+def _encoded(rows: DataFrame, raw, pattern: str, decoded: bool) -> DataFrame:
+    """The column ``text`` of ``rows``, their last, replaced by ``ids`` (and ``raw``)."""
     names = rows.columns[:-1]
-    schema = ", ".join([*(f"`{n}` {t}" for n, t in rows.dtypes[:-1]), "ids binary"])
-    out = arrow_schema(schema)
+    schema = ", ".join([*(f"`{n}` {t}" for n, t in rows.dtypes[:-1]), "ids array<int>", *["raw binary"] * decoded])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(raw.value, pattern)
+        encoder, token = _encoder(raw.value, pattern), _token_bytes(raw.value).__getitem__
         for batch in batches:
-            for start in range(0, batch.num_rows, 1000):
-                part = batch.slice(start, 1000)
-                ids = pa.array([encoder.ids(t or "") for t in part.column(len(names)).to_pylist()], pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids], schema=out)
+            for start in range(0, batch.num_rows, 250):
+                part = batch.slice(start, 250)
+                ids = _arrays([encoder.ids(t or "") for t in part.column(len(names)).to_pylist()])
+                found = [ids, _decoded(ids, token)] if decoded else [ids]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *found], names=[*names, "ids", "raw"][: len(names) + len(found)])
 
     return rows.mapInArrow(run, schema)
 
 
-def encode(docs: DataFrame, ranks: str, pattern: str, chunk_chars: int = 32_768, overlap: int = 2_048) -> DataFrame:
-    """(doc_id, ids) for every row: ``ids`` holds little-endian unsigned 32-bit token numbers.
+def encode(
+    docs: DataFrame, ranks: str, pattern: str, chunk_chars: int = 32_768, overlap: int = 2_048, decoded: bool = False
+) -> DataFrame:
+    """(doc_id, ids) for every row, ``ids`` the numbers of the tokens; with ``decoded`` also ``raw``, the
+    bytes that these numbers decode to, made in the same pass.
 
     ``ranks`` is the path of a rank file; the driver reads it and sends its bytes (a vocabulary, so
     of fixed size) to the tasks. A null text has no ids. Long texts are encoded once per distinct text.
@@ -159,7 +175,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, chunk_chars: int = 32_768,
         raw = spark.sparkContext.broadcast(file.read())
     rows = id_and_text(docs)
     is_long = F.coalesce(F.length("text"), F.lit(0)) > chunk_chars
-    short = _encoded(rows.filter(~is_long), raw, pattern)
+    short = _encoded(rows.filter(~is_long), raw, pattern, decoded)
     long = rows.filter(is_long).withColumn("key", F.sha2(F.col("text").cast("binary"), 256))
     texts = long.select("key", "text").dropDuplicates(["key"])
     tasks = shuffle_tasks(spark)
@@ -169,26 +185,16 @@ def encode(docs: DataFrame, ranks: str, pattern: str, chunk_chars: int = 32_768,
         .groupBy("key")
         .agg(F.array_sort(F.collect_list(F.struct("number", "head", "tail"))).alias("chunks"))
     )
-    pieces = _pieces(texts.join(found, "key"), chunk_chars).repartition(tasks, "key", "number")
-    whole = (
-        _encoded(pieces, raw, pattern)
-        .groupBy("key")
-        .agg(F.array_sort(F.collect_list(F.struct("number", "ids"))).alias("parts"))
-        .select("key", F.expr("parts.ids").alias("parts"))
-    )
-    return short.union(_joined(long.select("doc_id", "key").join(whole, "key").select("doc_id", "parts")))
+    pieces = _encoded(_pieces(texts.join(found, "key"), chunk_chars).repartition(tasks, "key", "number"), raw, pattern, decoded)
+    values = pieces.columns[2:]
+    parts = pieces.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("number", *values))).alias("parts"))
+    whole = parts.select("key", F.flatten("parts.ids").alias("ids"), *[_bytes_joined("parts.raw").alias("raw")] * decoded)
+    return short.union(long.select("doc_id", "key").join(whole, "key").select("doc_id", *values))
 
 
-def _joined(rows: DataFrame) -> DataFrame:
-    out = arrow_schema("doc_id long, ids binary")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                part = batch.slice(row, 1)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([b"".join(part.column(1)[0].as_py())], pa.binary())], schema=out)
-
-    return rows.mapInArrow(run, "doc_id long, ids binary")
+def _bytes_joined(parts: str):
+    """Binary values in one, by way of their digits: Spark joins lists of strings only."""
+    return F.unhex(F.array_join(F.transform(parts, F.hex), ""))
 
 
 def decode(encoded: DataFrame, ranks: str) -> DataFrame:
@@ -196,23 +202,15 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
     text that was encoded are its UTF-8; any other sequence of ids gives bytes all the same."""
     with open(ranks, "rb") as file:
         raw = encoded.sparkSession.sparkContext.broadcast(file.read())
-    schema = "doc_id long, ids binary, raw binary"
-    out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = _token_bytes(raw.value).__getitem__
         for batch in batches:
-            for start in range(0, batch.num_rows, 1000):
-                part = batch.slice(start, 1000)
-                texts = [b"".join(map(token, np.frombuffer(ids, "<u4").tolist())) for ids in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], schema=out)
-
-    return encoded.select("doc_id", "ids").mapInArrow(run, schema)
-
+            for start in range(0, batch.num_rows, 250):
+                part = batch.slice(start, 250)
+                yield pa.RecordBatch.from_arrays([*part.columns, _decoded(part.column(1), token)], names=["doc_id", "ids", "raw"])
 
-def decimal_ids(ids: bytes) -> bytes:
-    """Packed ids as decimal numbers joined by commas."""
-    return ",".join(map(str, np.frombuffer(ids, "<u4").tolist())).encode()
+    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, raw binary")
 
 
-__all__ = ["boundaries", "decimal_ids", "decode", "encode", "map_texts", "parse_ranks", "stitch"]
+__all__ = ["boundaries", "decode", "encode", "parse_ranks", "stitch"]

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapsewise.llm import byte_bpe, language, maxscore, order_minhash, packing, pitman_yor, simhash, substring, token_counts, toxicity
-from lapsewise.llm.common import arrow_schema, bucket_of, table
+from lapsewise.llm.common import bucket_of, table
 
 
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -19,29 +18,14 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = byte_bpe.encode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
-    return _token_digests(byte_bpe.decode(encoded, ranks))
-
-
-def _token_digests(decoded: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) from (doc_id, ids, raw)."""
-    n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
-    digests = decoded.select("doc_id", n_tokens, "ids", F.sha2("raw", 256).alias("decoded_sha256"))
-    return _with_decimal(digests).select("doc_id", "n_tokens", F.sha2("decimal", 256).alias("ids_sha256"), "decoded_sha256")
-
-
-def _with_decimal(rows: DataFrame) -> DataFrame:
-    schema = "doc_id long, n_tokens long, decimal binary, decoded_sha256 string"
-    out = arrow_schema(schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                doc, n, ids, digest = batch.slice(start, 500).columns
-                decimal = pa.array([byte_bpe.decimal_ids(x) for x in ids.to_pylist()], pa.binary())
-                yield pa.RecordBatch.from_arrays([doc, n, decimal, digest], schema=out)
-
-    return rows.mapInArrow(run, schema)
+    encoded = byte_bpe.encode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN, decoded=True)
+    decimal = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(decimal.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("raw", 256).alias("decoded_sha256"),
+    )
 
 
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:

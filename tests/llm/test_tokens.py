@@ -79,9 +79,11 @@ def test_spliced_counts_are_those_of_the_whole(text, chunk, overlap, pieces):
 
 @pytest.mark.parametrize("chunk, overlap", [(32_768, 2_048), (200, 60)])
 def test_encode_and_decode(documents, rows_of, reference, chunk, overlap):
+    wanted = sorted((str(i), reference.encode_ordinary(t), t.encode()) for i, t in rows_of)
     encoded = byte_bpe.encode(documents, RANKS, P.PATTERN, chunk, overlap)
-    found = sorted((str(r["doc_id"]), bytes(r["ids"]), bytes(r["raw"])) for r in byte_bpe.decode(encoded, RANKS).collect())
-    assert found == sorted((str(i), np.array(reference.encode_ordinary(t), "<u4").tobytes(), t.encode()) for i, t in rows_of)
+    at_once = byte_bpe.encode(documents, RANKS, P.PATTERN, chunk, overlap, decoded=True)
+    for frame in (byte_bpe.decode(encoded, RANKS), at_once):
+        assert sorted((str(r["doc_id"]), r["ids"], bytes(r["raw"])) for r in frame.collect()) == wanted
 
 
 def test_op2_digests(spark, folder, rows_of, reference):
