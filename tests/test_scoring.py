@@ -77,7 +77,7 @@ def test_history_keeps_batches_and_ignores_a_repeated_one(spark, batch, tmp_path
     assert {r.scored_at for r in newest.collect()} == {AT + datetime.timedelta(days=1)}
     assert latest_batch(history).count() == 40
     plan = newest._jdf.queryExecution().executedPlan().toString()
-    scans = [line for line in plan.splitlines() if "FileScan" in line and f"/{S.RISK_SCORE}]" in line]
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "churn_probability" in line]
     assert scans and all("PartitionFilters: []" not in line for line in scans)
     changes = risk_trend(history).where("previous_probability IS NOT NULL").collect()
     assert len(changes) == 40 and all(r.probability_change == 0 for r in changes)
