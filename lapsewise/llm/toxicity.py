@@ -6,21 +6,25 @@ One dimension of an embedding holds counted log odds, the others are learned. Fi
 pooling), and a logistic layer weighs them. Training sees a bounded sample of labelled rows; scoring
 reads whole texts in bounded blocks that overlap, so no filter misses a phrase.
 
-The score is shifted so that 0.3 is the cut with the best F1 on labelled rows held back from the fit.
-Each language with enough positives among them gets a threshold of its own, by the same rule;
+The score is shifted so that 0.3 is the cut with the best F1 on all labelled rows outside the fit,
+scored where they lie and counted by language, label and bin of the score. Each language with positives
+among them gets a threshold of its own, by the same rule, drawn to the common one the rarer it is;
 the language chooses a threshold only and is never an input of a score.
 """
 
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapsewise.llm.common import map_texts, unpacked, with_found
+from lapsewise.llm.common import arrow_schema, blocks, map_texts, unpacked, with_found
 
 BUCKETS, DIMENSIONS, FILTERS, WIDTHS = 1 << 16, 16, 16, (1, 2, 3)
 CUT = 0.3
@@ -28,10 +32,12 @@ CUT = 0.3
 SAMPLE_PER_CLASS = 3000
 #: Texts of the usual mix that are added to the counts behind a bucket's log odds.
 PSEUDO_TEXTS = 5
-#: Share of the sample that is held back to set the thresholds.
+#: Share of the sample that is held back from the fit, for tables that the sample exhausts.
 HELD_BACK = 0.25
-#: Positives that a language needs to get its own threshold.
-OWN_THRESHOLD = 40
+#: Positives at which a language's own cut and the common one weigh the same in its threshold.
+PSEUDO_POSITIVES = 40
+#: Bins of a logit's unit in the counts behind the thresholds, and the greatest logit told apart.
+BINS, GREATEST = 64, 60
 #: Words scored, and bytes hashed, at a time.
 WORDS_AT_ONCE, BYTES_AT_ONCE = 50_000, 1 << 19
 #: Leading bytes of a word that have embeddings of their own.
@@ -235,22 +241,71 @@ def train(texts: list[np.ndarray], labels: np.ndarray, epochs: int = 5, batch: i
     return Model(params["embedding"], {w: params[w] for w in WIDTHS}, params["bias"], params["weight"], float(params["intercept"][0]))
 
 
-def best_cut(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The logit above which the F1 of "toxic" is greatest, halfway to the next lower score."""
+def best_cut(scores: np.ndarray, labels: np.ndarray, counts: np.ndarray | None = None) -> float:
+    """The logit above which the F1 of "toxic" is greatest, halfway to the next lower score; ``counts``
+    are the rows that a score and label stand for, one unless given."""
+    counts = np.ones(len(scores)) if counts is None else counts
     order = np.argsort(-scores, kind="stable")
-    hits = np.cumsum(labels[order])
-    f1 = 2 * hits / (np.arange(1, len(order) + 1) + labels.sum())
+    hits = np.cumsum((labels * counts)[order])
+    f1 = 2 * hits / (np.cumsum(counts[order]) + (labels * counts).sum())
     last = np.r_[scores[order][1:] != scores[order][:-1], True]
     best = int(np.argmax(np.where(last, f1, -1)))
     below = scores[order][best + 1] if best + 1 < len(order) else scores[order][best] - 1
     return float((scores[order][best] + below) / 2)
 
 
+def binned(docs: DataFrame, marks: DataFrame, model: Model, learned: list[int]) -> pd.DataFrame:
+    """(fitted, lang, bin, toxic, n): all labelled rows counted by the bin of their logit; ``fitted`` are
+    those of the bounded list ``learned``.
+
+    ``marks`` has (doc_id, toxic), an id once. Texts are scored where they lie; only ids, languages and
+    bins are shuffled. Of a repeated id one row counts.
+    """
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(model)
+    schema = "doc struct<doc_id: long, lang: string>, bin int"
+    out = arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            for doc, texts in blocks(batch, 100):
+                bins = np.floor(np.clip(scorer.logits([hashed(t) for t in texts]), -GREATEST, GREATEST) * BINS)
+                yield pa.RecordBatch.from_arrays([doc.cast(out.field("doc").type), pa.array(bins.astype(np.int32))], schema=out)
+
+    own = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang")).alias("doc")
+    texts = docs.filter("text is not null and doc_id is not null").select(own, F.col("text").cast("string").alias("text"))
+    found = texts.mapInArrow(run, schema).groupBy("doc.doc_id").agg(F.min(F.struct("bin", "doc.lang")).alias("row"))
+    fitted = spark.createDataFrame([(i, True) for i in learned], "doc_id long, fitted boolean")
+    rows = found.join(marks, "doc_id").join(F.broadcast(fitted), "doc_id", "left")
+    return rows.groupBy(F.coalesce("fitted", F.lit(False)).alias("fitted"), "row.lang", "row.bin", "toxic").agg(F.count("*").alias("n")).toPandas()
+
+
+def calibrate(model: Model, counts: pd.DataFrame) -> None:
+    """Sets the shift and the thresholds from what ``binned`` counted outside the fit; inside it only if a
+    class is missing there. The rows of a class stand for all of it, as the fit took more of the rarer."""
+    outside = counts[~counts["fitted"].astype(bool)]
+    judge = outside if set(outside["toxic"]) == {0, 1} else counts
+    scores = (judge["bin"].to_numpy(np.float64) + 0.5) / BINS
+    labels, rows, langs = judge["toxic"].to_numpy(np.float64), judge["n"].to_numpy(np.float64), judge["lang"].to_numpy(object)
+    weight = rows * judge["toxic"].map(counts.groupby("toxic")["n"].sum() / judge.groupby("toxic")["n"].sum()).to_numpy(np.float64)
+    overall = best_cut(scores, labels, weight)
+    to_cut = float(np.log(CUT / (1 - CUT)))
+    model.shift = to_cut - overall
+    for lang in sorted({x for x in langs[labels > 0] if isinstance(x, str)}):
+        which = langs == lang
+        positives = (rows * labels)[which].sum()
+        own = best_cut(scores[which], labels[which], weight[which])
+        cut = to_cut + positives / (positives + PSEUDO_POSITIVES) * (own - overall)
+        model.thresholds[lang] = float(1 / (1 + np.exp(-cut)))
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER_CLASS) -> Model | None:
     """A model from the text and lang of ``docs`` and the toxic of ``labels``; None if a class is missing.
 
     A hash of the id chooses about ``sample_per_class`` labelled ids of each class. That bounded list is
     broadcast, so the texts are scanned but never shuffled, and only the chosen ones reach the driver.
+    The shift and the thresholds come from all labelled rows outside the fit.
     Null labels, ids and texts are not used; of a repeated id the greatest label and one text count.
     """
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
@@ -260,33 +315,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER_C
         return None
     share = F.when(F.col("toxic") == 1, min(1.0, sample_per_class / counts[1])).otherwise(min(1.0, sample_per_class / counts[0]))
     draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("toxicity")), F.lit(1_000_000)) / 1_000_000
-    texts_of = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    texts_of = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = texts_of.filter("text is not null").join(F.broadcast(marks.filter(draw < share)), "doc_id").dropDuplicates(["doc_id"])
     rows = found.toPandas().sort_values("doc_id")
     texts = [hashed(t) for t in rows["text"]]
     labels = rows["toxic"].to_numpy(np.float64)
-    langs = rows["lang"].to_numpy(object)
     held = np.random.default_rng(11).permutation(len(texts)) < HELD_BACK * len(texts)
     if len(set(labels)) < 2:
         return None
     if len(set(labels[held])) < 2 or len(set(labels[~held])) < 2:
         held[:] = False
     model = train([t for t, h in zip(texts, held) if not h], labels[~held])
-    judge = np.flatnonzero(held) if held.any() else np.arange(len(texts))
-    scores = Scorer(model).logits([texts[i] for i in judge])
-    # rows stand for their class's share of all labelled rows: negatives repeat accordingly
-    stand_for = np.where(labels[judge] > 0, 1, max(1, round(counts[0] / counts[1] * labels.sum() / max((labels == 0).sum(), 1))))
-
-    def cut(which: np.ndarray) -> float:
-        return best_cut(np.repeat(scores[which], stand_for[which]), np.repeat(labels[judge][which], stand_for[which]))
-
-    overall = cut(np.ones(len(judge), bool))
-    to_cut = float(np.log(CUT / (1 - CUT)))
-    model.shift = to_cut - overall
-    for lang in {x for x in langs[judge] if x is not None and x == x}:
-        which = langs[judge] == lang
-        if labels[judge][which].sum() >= OWN_THRESHOLD:
-            model.thresholds[lang] = float(1 / (1 + np.exp(-(cut(which) + model.shift))))
+    calibrate(model, binned(docs, marks, model, rows["doc_id"][~held].tolist()))
     return model
 
 
@@ -312,10 +352,8 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def threshold_of(model: Model | None, lang: str = "lang"):
     """The threshold of a row's language as a column: its own one where it has it, else CUT."""
-    column = F.lit(CUT)
-    for name, value in sorted((model.thresholds if model else {}).items()):
-        column = F.when(F.col(lang) == name, F.lit(value)).otherwise(column)
-    return column
+    own = [F.lit(x) for pair in sorted((model.thresholds if model else {}).items()) for x in pair]
+    return F.coalesce(F.try_element_at(F.create_map(*own), F.col(lang)), F.lit(CUT)) if own else F.lit(CUT)
 
 
 def kept(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,6 +78,33 @@ def test_thresholds_by_language(spark, corpus, toxic_model):
     assert kept.filter("lang = 'en' and toxic = 0").count() >= 0.95 * corpus.filter("lang = 'en' and toxic = 0").count()
 
 
+def test_rare_languages_have_thresholds(toxic_model):
+    """None of them has 40 positives in a quarter of the sample."""
+    assert set(toxic_model.thresholds) == set(LANGUAGES)
+
+
+def test_thresholds_count_all_labelled_rows(corpus, toxic_model):
+    marks = corpus.filter("doc_id % 4 <> 2").select("doc_id", "toxic")
+    learned = list(range(0, 200, 4))
+    counts = toxicity.binned(corpus.union(corpus.limit(50)), marks, toxic_model, learned)
+    assert counts["n"].sum() == marks.count() and counts["n"][counts["fitted"]].sum() == len(learned)
+    assert {(r["lang"], r["toxic"]): r["n"] for r in counts.groupby(["lang", "toxic"], as_index=False)["n"].sum().to_dict("records")} == {
+        (r["lang"], r["toxic"]): r["count"] for r in corpus.filter("doc_id % 4 <> 2").groupBy("lang", "toxic").count().collect()
+    }
+
+
+def test_a_rare_language_is_drawn_to_the_common_threshold(toxic_model):
+    def thresholds(positives):
+        rows = [(False, "en", 0, 1, 4000), (False, "en", -64, 0, 8000), (False, "xx", 192, 1, positives), (False, "xx", 128, 0, 2 * positives), (True, "xx", 0, 1, 9)]
+        model = toxicity.Model(**{**toxic_model.__dict__, "shift": 0.0, "thresholds": {}})
+        toxicity.calibrate(model, pd.DataFrame(rows, columns=["fitted", "lang", "bin", "toxic", "n"]))
+        return model.thresholds
+
+    cuts = [thresholds(n) for n in (1, 10, 40, 1000)]
+    assert all(abs(c["en"] - toxicity.CUT) < 0.01 for c in cuts)
+    assert toxicity.CUT < cuts[0]["xx"] < 0.33 and cuts[0]["xx"] < cuts[1]["xx"] < cuts[2]["xx"] < cuts[3]["xx"] < 0.9
+
+
 def test_best_cut():
     assert toxicity.best_cut(np.array([3.0, 2.0, 1.0, 0.0]), np.array([1, 1, 0, 0])) == 1.5
     assert toxicity.best_cut(np.array([1.0, 1.0]), np.array([1, 0])) < 1
