@@ -26,54 +26,102 @@ PAYMENT_FEATURES = [
 
 
 FLAGS = {"failed": "had_failed_attempt", "late": "was_paid_late"}
+SUMS = ["missed", *FLAGS, "judged", "days_late"]
+CELL = ["policy_num", "installment_num"]
+#: An installment of so many invoices is put in order by one task.
+RANKED_ROWS = 100_000
 
 
-def per_installment(summary: DataFrame) -> DataFrame:
-    """Invoices counted per policy and installment, with their flags by invoice number.
+def _with_early(cells: DataFrame) -> DataFrame:
+    """Add to counted installments (policy, installment, n) how many invoices their policy's early half
+    takes from each, and whether it takes some but not all: of one installment a policy at most."""
+    policy = W.partitionBy("policy_num")
+    earlier = policy.orderBy(F.col("installment_num").asc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
+    ahead = cells.withColumns(
+        {
+            "half": F.ceil(F.sum("n").over(policy) / 2),
+            "before": F.coalesce(F.sum("n").over(earlier), F.lit(0)),
+        }
+    )
+    wanted = F.least(F.greatest(F.col("half") - F.col("before"), F.lit(0)), F.col("n"))
+    return ahead.withColumn("wanted", wanted).withColumn(
+        "is_cut", (F.col("wanted") > 0) & (F.col("wanted") < F.col("n"))
+    )
+
 
-    Combines before the shuffle, and a policy with very many invoices spreads
-    over as many keys as it has installments.
+def early_of_cut(invoices: DataFrame, ranked_rows: int = RANKED_ROWS) -> DataFrame:
+    """The numbers of the early invoices of the installments in which a policy's half ends.
+
+    Where the halves end follows from counts, and only the invoices of those
+    installments are put in order. One of more than ``ranked_rows`` is dealt by
+    a hash into even parts, each put in order by itself. The cut lies in a part
+    where the part's share of the wanted ones ends, give or take ten standard
+    deviations; only the rows so near to it are put in order together. That the
+    cut is among them is checked.
     """
+    rows = invoices.where(F.col("policy_num").isNotNull()).select(*CELL, "invoice_num")
+    cells = rows.groupBy(*CELL).agg(F.count("*").alias("n"))
+    inside = [f"cut_{c}" for c in CELL]
+    cut = _with_early(cells).where("is_cut").select(*[F.col(c).alias(f"cut_{c}") for c in CELL], "n", "wanted")
+    same = (F.col("policy_num") == F.col("cut_policy_num")) & F.col("installment_num").eqNullSafe(F.col("cut_installment_num"))
+    parts = F.ceil(F.col("n") / ranked_rows)
+    dealt = rows.join(cut, same).select(
+        *inside, "invoice_num", "n", "wanted", parts.alias("parts"), F.pmod(F.xxhash64("invoice_num"), parts).alias("part")
+    )
 
-    def count_of(flag: str) -> Column:
-        return F.count(F.when(F.col(flag), 1))
-
-    return summary.where(F.col("policy_num").isNotNull()).groupBy("policy_num", "installment_num").agg(
-        F.count("*").alias("n"),
-        count_of("was_missed").alias("missed"),
-        *[count_of(flag).alias(name) for name, flag in FLAGS.items()],
-        F.count("max_days_late").alias("judged"),
-        F.sum("max_days_late").alias("days_late"),
-        F.max("max_days_late").alias("most_days_late"),
-        F.collect_list(F.struct("invoice_num", *FLAGS.values())).alias("invoices"),
+    of_part = W.partitionBy(*inside, "part")
+    sized = dealt.withColumns({"place": F.row_number().over(of_part.orderBy("invoice_num")), "size": F.count("*").over(of_part)})
+    share = F.col("wanted") * F.col("size") / F.col("n")
+    margin = F.when(F.col("parts") > 1, F.ceil(5 * F.sqrt("size"))).otherwise(0)
+    near = sized.withColumns(
+        {"low": F.greatest(F.floor(share) - margin, F.lit(0)), "high": F.least(F.ceil(share) + margin, F.col("size"))}
+    ).withColumn("is_open", (F.col("place") > F.col("low")) & (F.col("place") <= F.col("high")))
+
+    together = W.partitionBy(*inside, F.when(F.col("is_open"), -1).otherwise(F.col("part")))
+    below = F.sum(F.when(F.col("is_open") & (F.col("place") == F.col("low") + 1), F.col("low"))).over(together)
+    open_early = F.row_number().over(together.orderBy("invoice_num")) <= F.col("wanted") - below
+    judged = near.withColumn("is_early", F.when(F.col("is_open"), open_early).otherwise(F.col("place") <= F.col("low")))
+    missed = F.col("is_open") & (
+        ((F.col("place") == F.col("low") + 1) & (F.col("low") > 0) & ~F.col("is_early"))
+        | ((F.col("place") == F.col("high")) & (F.col("high") < F.col("size")) & F.col("is_early"))
     )
+    checked = F.when(missed, F.raise_error(F.lit("the half of a policy ends outside the rows near its cut"))).otherwise(F.col("is_early"))
+    return judged.where(checked).select("invoice_num")
 
 
-def policy_features(summary: DataFrame) -> DataFrame:
+def policy_features(summary: DataFrame, invoices: DataFrame | None = None) -> DataFrame:
     """Collapse the invoice summary to one row per policy with invoices.
 
     The trend is the recent half's rate less the early half's, 0 when there is
     no recent half. The early half holds ceil(n / 2) invoices, by installment
     (unknown last), then invoice number: whole installments, and of the one in
-    which it ends the first few invoices. Only there are invoices put in order.
+    which it ends the first few invoices. ``invoices`` are the rows behind the
+    summary, if they are at hand: they are cheaper to count.
     """
-    policy = W.partitionBy("policy_num")
-    earlier = policy.orderBy(F.col("installment_num").asc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
-    ahead = per_installment(summary).withColumns(
-        {
-            "half": F.ceil(F.sum("n").over(policy) / 2),
-            "before": F.coalesce(F.sum("n").over(earlier), F.lit(0)),
-        }
+    first = early_of_cut(summary if invoices is None else invoices).select(F.col("invoice_num").alias("early_invoice"))
+    marked = summary.where(F.col("policy_num").isNotNull()).join(first, F.col("invoice_num") == F.col("early_invoice"), "left")
+
+    def count_of(condition: Column) -> Column:
+        return F.count(F.when(condition, 1))
+
+    is_first = F.col("early_invoice").isNotNull()
+    ahead = _with_early(
+        marked.groupBy(*CELL).agg(
+            F.count("*").alias("n"),
+            count_of(F.col("was_missed")).alias("missed"),
+            *[count_of(F.col(flag)).alias(name) for name, flag in FLAGS.items()],
+            F.count("max_days_late").alias("judged"),
+            F.sum("max_days_late").alias("days_late"),
+            F.max("max_days_late").alias("most_days_late"),
+            *[count_of(is_first & F.col(flag)).alias(f"first_{name}") for name, flag in FLAGS.items()],
+        )
     )
-    wanted = F.least(F.greatest(F.col("half") - F.col("before"), F.lit(0)), F.col("n"))
 
     def early(name: str) -> Column:
-        first = F.slice(F.array_sort("invoices"), F.lit(1), wanted.cast("int"))
-        in_part = F.size(F.filter(first, lambda invoice: invoice[FLAGS[name]])).cast("bigint")
-        return F.when(wanted == F.col("n"), F.col(name)).when(wanted == 0, F.lit(0)).otherwise(in_part)
+        return F.when(F.col("is_cut"), F.col(f"first_{name}")).when(F.col("wanted") > 0, F.col(name)).otherwise(F.lit(0))
 
     summed = ahead.groupBy("policy_num").agg(
-        *[F.sum(c).alias(c) for c in ("n", "missed", *FLAGS, "judged", "days_late")],
+        *[F.sum(c).alias(c) for c in ("n", *SUMS)],
         F.max("most_days_late").alias("most_days_late"),
         F.max("half").alias("half"),
         *[F.sum(early(name)).alias(f"early_{name}") for name in FLAGS],
@@ -122,7 +170,7 @@ def feature_table(policies: DataFrame, invoices: DataFrame, payments: DataFrame)
 
     Only the payment columns are filled; an unknown tenure stays NULL.
     """
-    behaviour = policy_features(invoice_summary(invoices, payments))
+    behaviour = policy_features(invoice_summary(invoices, payments), invoices)
     return (
         policy_static(policies)
         .join(behaviour, "policy_num", "left")

@@ -16,31 +16,23 @@ def default_slices(df: DataFrame) -> int:
     return max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def running_totals(
-    df: DataFrame,
-    order_by: Sequence[str],
-    totals: Sequence[str],
-    within: Sequence[str] = (),
-    slices: int | None = None,
-) -> DataFrame:
-    """Add ``<total>_before``: the sum of ``total`` over all earlier rows.
+def _key(columns: Sequence[str]) -> Column:
+    return F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
 
-    Rows are ordered by ``order_by`` inside each ``within`` group; the two
-    together must be unique. The order is cut into even slices at splitters
-    taken from a fixed-size sample (the rows with the smallest key hashes, so
-    every evaluation picks the same splitters). Slices are summed first; only
-    those few sums are accumulated in one place, and rows are accumulated
-    inside their slice. A group of any size therefore spreads over slices.
+
+def slice_bounds(df: DataFrame, columns: Sequence[str], slices: int | None = None) -> Column:
+    """Splitters that cut the order of ``columns`` into even slices, as one value.
+
+    They are taken from a fixed-size sample: the rows with the smallest key
+    hashes, so every evaluation picks the same ones.
     """
     slices = slices or default_slices(df)
-    columns = [*within, *order_by]
-    key = F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
 
     def every(array: str, n: int) -> Column:
         return F.filter(array, lambda _, i: i % n == n - 1)
 
-    chosen = (
-        df.select(key.alias("k"))
+    return (
+        df.select(_key(columns).alias("k"))
         .orderBy(F.xxhash64("k"), "k")
         .limit(_SAMPLES_PER_SLICE * slices)
         .agg(F.sort_array(F.collect_list("k")).alias("sample"))
@@ -49,11 +41,16 @@ def running_totals(
         .scalar()
     )
 
+
+def with_slices(df: DataFrame, columns: Sequence[str], bounds: Column) -> DataFrame:
+    """Add ``_slice``, the number of splitters in ``bounds`` below each row's key."""
+    key = _key(columns)
+
     def below_key(array: Column) -> Column:
         return F.coalesce(F.size(F.filter(array, lambda s: s < key)), F.lit(0))
 
-    sliced = (
-        df.withColumn("_s", chosen)
+    return (
+        df.withColumn("_s", bounds)
         .withColumn("_passed", below_key(F.col("_s.landmarks")) * _STRIDE)
         .withColumn(
             "_slice",
@@ -63,6 +60,23 @@ def running_totals(
         .drop("_s", "_passed")
     )
 
+
+def running_totals(
+    df: DataFrame,
+    order_by: Sequence[str],
+    totals: Sequence[str],
+    within: Sequence[str] = (),
+    slices: int | None = None,
+) -> DataFrame:
+    """Add ``<total>_before``: the sum of ``total`` over all earlier rows.
+
+    Rows are ordered by ``order_by`` inside each ``within`` group; the two
+    together must be unique. The order is cut into even slices. Slices are
+    summed first; only those few sums are accumulated in one place, and rows are
+    accumulated inside their slice. A group of any size therefore spreads over slices.
+    """
+    sliced = with_slices(df, [*within, *order_by], slice_bounds(df, [*within, *order_by], slices))
+
     def summed(window: W, total: str) -> Column:
         return F.coalesce(F.sum(total).over(window), F.lit(0))
 

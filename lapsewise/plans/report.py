@@ -48,6 +48,4 @@ def run_report(spark: SparkSession, store: str, folder: str, day: date | None =
 def stored_latest_scores(spark: SparkSession, store: str) -> DataFrame:
     """The latest stored batch; an empty one if nothing is scored yet."""
     history, log = read_table(spark, store, S.RISK_SCORE), read_batch_log(spark, store)
-    if "scored_date" not in history.columns:
-        log = None
     return latest_scores(history, read_table(spark, store, S.POLICIES), log)

@@ -100,12 +100,13 @@ SOURCE_NAMES: dict[str, str] = {
     RISK_SCORE: "tbl_policy_risk_score",
 }
 
-# one row per score batch: when, in which partition, how many policies
+# one row per score batch of a committed write: when, in which partition, how many policies
 BATCH_LOG = "score_batch_log"
 BATCH_LOG_SCHEMA = _table(
     ("scored_at", T.TimestampNTZType()),
     ("scored_date", _DATE),
     ("n_rows", T.LongType()),
+    ("write_id", T.StringType()),
     required=("scored_at",),
 )
 

@@ -41,8 +41,8 @@ def read_hidden_profile(spark: SparkSession, path: str) -> DataFrame:
 def load_tables(
     spark: SparkSession, folder: str, tables: Iterable[str] = S.LOAD_ORDER
 ) -> dict[str, DataFrame]:
-    """The stored tables, one Parquet folder each."""
-    return {t: spark.read.schema(S.SCHEMAS[t]).parquet(f"{folder}/{t}") for t in tables}
+    """The stored tables, one Parquet folder each, without the columns of their layout."""
+    return {t: spark.read.schema(S.SCHEMAS[t]).parquet(f"{folder}/{t}").select(*S.SCHEMAS[t].names) for t in tables}
 
 
 def load_jdbc_tables(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -37,10 +39,15 @@ def stream_table(
 
 
 def stream_all(
-    spark: SparkSession, csv_folder: str, store: str, checkpoint: str, on_orphan: str = "fail"
+    spark: SparkSession,
+    csv_folder: str,
+    store: str,
+    checkpoint: str,
+    on_orphan: str = "fail",
+    tables: Sequence[str] = S.LOAD_ORDER,
 ) -> None:
-    """Merge the new files of every table's folder, parents first, then stop."""
-    for table in S.LOAD_ORDER:
+    """Merge the new files of each table's folder, parents first, then stop."""
+    for table in tables:
         stream_table(
             spark, f"{csv_folder}/{table}", store, table, f"{checkpoint}/{table}", on_orphan
         ).awaitTermination()

@@ -2,32 +2,37 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``, else the session's warehouse.
+    """The folder named in ``spark.checkpoint.dir``, which every executor and the driver must reach.
 
-    Both are folders that every executor and the driver reach; a machine's own
-    temporary folder would be lost with the machine.
+    Where driver and executors are one process the session's warehouse will do;
+    on a cluster it may be a folder of the driver alone, so there it is refused.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
+    if not configured and re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
-_jobs: list[str] = []  # the running job, innermost last
+# the running jobs of this thread or task, innermost last
+_jobs: ContextVar[tuple[str, ...]] = ContextVar("jobs", default=())
 
 
 def scratch_folder(spark: SparkSession) -> str:
     """Where the running job, or else the application, keeps its scratch tables."""
-    return "/".join([shared_folder(spark), "lapsewise", spark.sparkContext.applicationId, *_jobs])
+    return "/".join([shared_folder(spark), "lapsewise", spark.sparkContext.applicationId, *_jobs.get()])
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -38,13 +43,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 @contextmanager
 def job(spark: SparkSession) -> Iterator[None]:
     """A job leaves no scratch table behind, whether it succeeds or not."""
-    _jobs.append(uuid.uuid4().hex)
+    token = _jobs.set((*_jobs.get(), uuid.uuid4().hex))
     try:
         yield
     finally:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-        _jobs.pop()
+        _jobs.reset(token)
 
 
 def durable(df: DataFrame, name: str, key: str | None = None) -> DataFrame:

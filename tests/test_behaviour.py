@@ -83,6 +83,24 @@ def test_trend_compares_recent_with_early_half(spark):
     assert (got["P3"].trend_failed_rate_delta, got["P3"].trend_late_rate_delta) == (1.0, -0.5)
 
 
+@pytest.mark.parametrize("wanted_share", [0.5, 0.02, 0.97])
+def test_a_large_installment_is_put_in_order_in_parts(spark, wanted_share):
+    """One installment of 40,000 invoices in parts of 1,000 rows: its early ones are exact."""
+    n = 40_000
+    before = max(0, round(n * (1 - 2 * wanted_share))) if wanted_share < 0.5 else 0
+    after = max(0, round(n * (2 * wanted_share - 1)))
+    rows = spark.range(before + n + after).selectExpr(
+        "'P' policy_num",
+        f"cast(CASE WHEN id < {before} THEN 1 WHEN id < {before + n} THEN 2 ELSE id END AS int) installment_num",
+        "substring(md5(cast(id AS string)), 1, 12) invoice_num",
+    )
+    half = -(-(before + n + after) // 2) - before
+    got = {r.invoice_num for r in B.early_of_cut(rows, ranked_rows=1000).collect()}
+    assert 0 < half < n
+    numbers = [r.invoice_num for r in rows.where("installment_num = 2").collect()]
+    assert got == set(sorted(numbers)[:half])
+
+
 def brute_force_deltas(rows):
     out = {}
     key = lambda r: (r[0], r[1] is None, r[1] or 0, r[2])
@@ -187,8 +205,11 @@ def test_feature_plan_stays_in_the_jvm_with_few_exchanges(spark, capsys):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
-    # payments and invoices by invoice, summary by installment, then by policy, policies by policy
-    assert plan.count("Exchange hashpartitioning") == 5
+    assert "ObjectHashAggregate" not in plan and "collect_list" not in plan
+    # payments, invoices and early invoices by invoice; installments by installment, then by policy;
+    # policies by policy; for the early ones: counts by installment and policy, the cut installments and
+    # their invoices by installment, and these by part and by nearness to the cut
+    assert plan.count("Exchange hashpartitioning") == 12
 
 
 def test_lateness_join_splits_a_hot_invoice(spark):

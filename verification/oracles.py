@@ -406,6 +406,20 @@ _STATEMENTS: dict[str, str] = {
     "saved_evaluation": f"""
       SELECT {r6_columns(['threshold', 'precision', 'recall', 'f1', 'roc_auc', 'pr_auc', 'expected_cost'])},
              true_negative, false_positive, false_negative, true_positive FROM swept""",
+    "saved_calibration": f"SELECT {r6_columns(['mean_predicted_probability', 'observed_churn_rate'])} FROM (SELECT avg(p) AS mean_predicted_probability, avg(y) AS observed_churn_rate FROM (SELECT p, y, (SELECT count(*) FROM edges WHERE edge < p) AS bin FROM scored) GROUP BY bin)",
+    "saved_report": f"""
+      SELECT kind, {r6('(SELECT arg_min(threshold, expected_cost * 100 + position) FROM swept)')} AS cost_weighted_threshold,
+             {r6_columns(['threshold', 'precision', 'recall', 'f1', 'roc_auc', 'pr_auc'])},
+             true_negative, false_positive, false_negative, true_positive
+      FROM (SELECT 'default_threshold' AS kind, * FROM swept WHERE position = 9
+            UNION ALL SELECT 'cost_weighted', * FROM (SELECT * FROM swept ORDER BY expected_cost, position LIMIT 1))""",
+    "profile_csv": "SELECT policy_num, hidden_profile FROM profile",
+    "stream_seed": """
+      SELECT 'customer' AS table_name, CAST(c_custkey AS VARCHAR) AS key,
+             concat_ws('|', c_custkey, c_nationkey, split_part(c_name, '#', 1), split_part(c_name, '#', 2)) AS row FROM customer
+      UNION ALL SELECT t.name, policy_num, concat_ws('|', insurance_product, customer_id, policy_num, effective_start_date,
+             effective_end_date, payment_frequency, policy_status, coalesce(CAST(cancel_date AS VARCHAR), '-'))
+      FROM policies, (VALUES ('policies'), ('quarantine')) t(name) WHERE t.name = 'policies' OR CAST(customer_id AS BIGINT) % 2 = 1""",
     "saved_importance": f"SELECT feature, {r6('avg(abs(v))')} AS mean_abs_shap_value FROM factors GROUP BY feature",
     "batch_importance": """
       SELECT feature, true AS in_range, true AS some_matter, (SELECT CAST(count(*) AS INTEGER) FROM active_features) AS n_scored FROM model_inputs""",
@@ -413,6 +427,15 @@ _STATEMENTS: dict[str, str] = {
       SELECT policy_num AS "Policy", {r6('churn_probability')} AS "Churn Risk", segment_label AS "Segment", insurance_product AS "Product",
              payment_frequency AS "Payment Frequency", policy_status AS "Status", recommended_action AS "Suggested Action",
              coalesce(why, '-') AS "Why Flagged" FROM latest""",
+    "report_summaries": f"""
+      SELECT 'risk_report_{BATCHES[-1][0]:%Y%m%d}' AS report, * FROM (
+        SELECT 'headline' AS table_name, CAST(count(*) AS VARCHAR) AS label,
+               count(*) FILTER (segment_label IS DISTINCT FROM 'Low risk') || ' (' ||
+               CAST(round_even(100.0 * count(*) FILTER (segment_label IS DISTINCT FROM 'Low risk') / count(*), 0) AS INTEGER) || '%)' AS value
+        FROM latest
+        UNION ALL SELECT 'segment_counts', segment_label, CAST(count(*) AS VARCHAR) FROM latest GROUP BY segment_label
+        UNION ALL SELECT 'action_counts', split_part(recommended_action, ' - ', 1), CAST(count(*) AS VARCHAR)
+        FROM latest WHERE segment_label IS DISTINCT FROM 'Low risk' GROUP BY 2)""",
     "factors_json": f"""
       SELECT policy_num, CAST(n_factors AS INTEGER) AS n_factors, lead_feature, {r6('lead_value')} AS lead_value FROM latest""",
 }

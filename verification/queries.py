@@ -23,7 +23,8 @@ from lapsewise.plans.explanation import explain_held_out
 from lapsewise.plans.features import build_active_feature_table, build_feature_table
 from lapsewise.plans.profile import profile_tables
 from lapsewise.sources import store as store_tables
-from lapsewise.sources.tables import read_csv_table
+from lapsewise.sources.tables import read_csv_table, read_hidden_profile
+from lapsewise.streaming.seeding import stream_all
 from lapsewise.workspace import durable, scratch_path
 from verification import model_checks as checks
 from verification import stand_ins
@@ -531,6 +532,56 @@ def saved_evaluation(spark, folder):
     return shown(back.csv(paths["threshold_sweep"]))
 
 
+def saved_calibration(spark, folder):
+    """The saved calibration of the stand-in score, read back from its file."""
+    scored = _scored(spark, folder).select("policy_num", "y", "p")
+    paths = store_tables.save_evaluation(training.evaluate_scores(scored), _store(spark))
+    schema = "mean_predicted_probability double, observed_churn_rate double"
+    return shown(spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(paths["calibration"]))
+
+
+def saved_report(spark, folder):
+    """The JSON report of the stand-in score: the metrics at 0.5 and at the cheapest threshold."""
+    scored = _scored(spark, folder).select("policy_num", "y", "p")
+    paths = store_tables.save_evaluation(training.evaluate_scores(scored), _store(spark))
+    back = spark.read.json(paths["report"])
+    names = ["threshold", "precision", "recall", "f1", "roc_auc", "pr_auc", *M.CELLS]
+    found = None
+    for kind in ("default_threshold", "cost_weighted"):
+        row = back.select(F.lit(kind).alias("kind"), "cost_weighted_threshold", *[F.col(f"{kind}_metrics.{n}") for n in names])
+        found = row if found is None else found.unionByName(row)
+    return shown(found)
+
+
+def profile_csv(spark, folder):
+    """The hidden profile written as CSV and read by its reader."""
+    path = f"{scratch_path(spark, 'profile')}.csv"
+    hidden_profile(spark, folder).write.option("header", True).csv(path)
+    return read_hidden_profile(spark, path)
+
+
+def stream_seed(spark, folder):
+    """Customers and policies that arrive as files of a stream, which runs twice with one checkpoint.
+
+    First come half of the customers and all policies, so the other policies are kept back; then
+    come all customers, half of them again, and all policies again, which load what was kept back."""
+    base = scratch_path(spark, "stream")
+    files, store, checkpoint = (f"{base}/{part}" for part in ("files", "store", "checkpoint"))
+    billing = billing_tables(spark, folder)
+    early = F.pmod(F.col("customer_id").cast("bigint"), F.lit(2)) == 0
+    for customers in (billing[S.CUSTOMER].where(early), billing[S.CUSTOMER]):
+        for name, rows in ((S.CUSTOMER, customers), (S.POLICIES, billing[S.POLICIES])):
+            rows.write.mode("append").option("header", True).csv(f"{files}/{name}")
+        stream_all(spark, files, store, checkpoint, "quarantine", tables=(S.CUSTOMER, S.POLICIES))
+    found = None
+    for label, where, name in (("customer", store, S.CUSTOMER), ("policies", store, S.POLICIES), ("quarantine", f"{store}/quarantine", S.POLICIES)):
+        back = store_tables.read_table(spark, where, name)
+        texts = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in back.columns]
+        rows = back.select(F.lit(label).alias("table_name"), F.col(S.PRIMARY_KEYS[name][0]).alias("key"), F.concat_ws("|", *texts).alias("row"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 def saved_importance(spark, folder):
     importance = attribution.feature_importance(_explained(spark, folder), S.BEHAVIOUR_FEATURES)
     path = store_tables.save_feature_importance(importance, _store(spark))
@@ -555,6 +606,20 @@ def report_files(spark, folder):
     return shown(back.withColumn("Churn Risk", F.col("`Churn Risk`").cast("double")))
 
 
+def report_summaries(spark, folder):
+    """The report's three small tables, read back from the files of the report of one day."""
+    path = report.build_report(_latest(spark, folder), _store(spark), stand_ins.BATCHES[-1][0].date())
+    found = None
+    for name in ("headline", "segment_counts", "action_counts"):
+        back = spark.read.option("header", True).csv(f"{path}/{name}")
+        label, value = back.columns
+        rows = back.select(
+            F.lit(path.rsplit("/", 1)[1]).alias("report"), F.lit(name).alias("table_name"), F.col(f"`{label}`").alias("label"), F.col(f"`{value}`").alias("value")
+        )
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 def factors_json(spark, folder):
     """The factor lists of the latest batch as JSON text and back."""
     texts = _latest(spark, folder).select("policy_num", factors_to_json(F.col("top_factors")).alias("j"))
@@ -623,9 +688,14 @@ QUERIES: dict[str, Query] = {
     "evaluation_bundle": evaluation_bundle,
     "csv_round_trip": csv_round_trip,
     "seed_quarantine": seed_quarantine,
+    "stream_seed": stream_seed,
+    "profile_csv": profile_csv,
     "saved_evaluation": saved_evaluation,
+    "saved_calibration": saved_calibration,
+    "saved_report": saved_report,
     "saved_importance": saved_importance,
     "batch_importance": batch_importance,
     "report_files": report_files,
+    "report_summaries": report_summaries,
     "factors_json": factors_json,
 }
