@@ -141,7 +141,7 @@ class SpillingQueue:
                 file.write(self.RECORD.pack(*kept))
             file.seek(0)
             run = self._read(file)
-            self.runs.append([next(run), len(self.runs), run])
+            self.runs.append([next(run), self.spilled, run])
             heapq.heapify(self.runs)
             self.heap = []
             self.spilled += 1
