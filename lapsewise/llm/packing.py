@@ -14,8 +14,10 @@ import heapq
 import json
 import os
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -93,40 +95,54 @@ def cut(n_tokens: int, window: int = WINDOW, piece: int = PIECE) -> list[tuple[i
 
 
 def differencing(sizes: list[int], windows: int) -> list[list[int]]:
-    """The indexes of ``sizes`` in ``windows`` groups of near-equal sums."""
-    left, right = [], []
-    heap = []
-    for i in np.argsort(np.negative(sizes), kind="stable").tolist():
-        sums, parts = np.zeros(windows, np.int64), np.zeros(windows, np.int64)
-        sums[0], parts[0] = sizes[i], i + 1
-        heap.append((-sizes[i], len(heap), sums, parts))
-    heapq.heapify(heap)
-    made, order = len(sizes), len(heap)
+    """The indexes of ``sizes`` in ``windows`` groups of near-equal sums.
+
+    A partial partition is its non-empty windows alone, in ascending order of their sums, so it holds
+    no more than its pieces, however many windows there are. Its spread is what the fullest has above
+    the emptiest. Two are merged by putting the fullest of what does not fit beside the other's into
+    its emptiest.
+    """
+    left: list[int] = []
+    right: list[int] = []
+
+    def joined(a: int, b: int) -> int:
+        left.append(a)
+        right.append(b)
+        return len(sizes) + len(left) - 1
+
+    heap = [(-size, place, [size], [i]) for place, (size, i) in enumerate(sorted(((s, i) for i, s in enumerate(sizes)), key=lambda x: (-x[0], x[1])))]
+    order = len(heap)
     while len(heap) > 1:
         _, _, sums, parts = heapq.heappop(heap)
         _, _, other, others = heapq.heappop(heap)
-        sums, others = sums + other[::-1], others[::-1]
-        both = np.flatnonzero((parts > 0) & (others > 0))
-        merged = np.where(parts > 0, parts, others)
-        left.append(parts[both])
-        right.append(others[both])
-        merged[both] = np.arange(made + 1, made + 1 + len(both))
-        made += len(both)
-        by_sum = np.argsort(-sums, kind="stable")
-        sums, parts = sums[by_sum], merged[by_sum]
-        sums -= sums[-1]
-        heapq.heappush(heap, (-int(sums[0]), order, sums, parts))
+        if len(other) > len(sums):
+            sums, parts, other, others = other, others, sums, parts
+        meet = max(0, len(sums) + len(other) - windows)
+        for k in range(meet):  # the emptiest here with the fullest of those that must share
+            opposite = meet - 1 - k
+            others[opposite] = joined(parts[k], others[opposite])
+            other[opposite] += sums[k]
+        sums, parts = sums[meet:], parts[meet:]
+        if len(other) <= 8:
+            for value, part in zip(other, others):
+                at = bisect_right(sums, value)
+                sums.insert(at, value)
+                parts.insert(at, part)
+        else:
+            both = sorted(zip(sums + other, parts + others), key=itemgetter(0))
+            sums, parts = [x[0] for x in both], [x[1] for x in both]
+        spread = sums[-1] - (sums[0] if len(sums) == windows else 0)
+        heapq.heappush(heap, (-spread, order, sums, parts))
         order += 1
-    left, right = (np.concatenate([np.zeros(0, np.int64), *x]).tolist() for x in (left, right))
     groups = []
-    for part in heap[0][3].tolist() if heap else []:
-        group, stack = [], [part] if part else []
+    for part in heap[0][3] if heap else []:
+        group, stack = [], [part]
         while stack:
             node = stack.pop()
-            if node <= len(sizes):
-                group.append(node - 1)
+            if node < len(sizes):
+                group.append(node)
             else:
-                stack += [right[node - len(sizes) - 1], left[node - len(sizes) - 1]]
+                stack += [right[node - len(sizes)], left[node - len(sizes)]]
         groups.append(group)
     return groups
 
@@ -178,19 +194,19 @@ def packed(
 ) -> DataFrame:
     """The pieces of all documents with ``sequence_id`` and ``offset`` in it.
 
-    Repeated rows are packed as often as they occur; an empty table gives no pieces. Groups follow
-    from the pieces alone, so a lost task gives the same sequences again.
+    Repeated rows are packed as often as they occur; an empty table gives no pieces. Pieces are
+    numbered as they are stored, so groups are even however many of them are equal, and follow from
+    what is stored, so a lost task gives the same sequences again.
     """
-    cuts = stored(pieces(docs, tokenizer, window, piece), "pieces")
+    cuts = stored(pieces(docs, tokenizer, window, piece).withColumn("row", F.monotonically_increasing_id()), "pieces")
     tokens = cuts.filter(F.col("length") < window).agg(F.sum("length")).first()[0] or 0
     groups = max(1, -(-tokens // (window * group_windows)))
-    names = cuts.columns
-    key = F.pmod(F.xxhash64(*names), F.lit(groups))
+    key = F.pmod(F.xxhash64("row"), F.lit(groups))
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     out = arrow_schema(schema)
 
     def place(table: pa.Table) -> pa.Table:
-        table = table.sort_by([(n, "ascending") for n in names])
+        table = table.sort_by("row")
         lengths = table.column("length").to_numpy()
         small = np.flatnonzero(lengths < window)
         sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
@@ -202,7 +218,7 @@ def packed(
         full = np.flatnonzero(lengths >= window)
         sequence[full] = len(windows) + np.arange(len(full))
         sequence += table.column("group")[0].as_py() << GROUP_SHIFT
-        columns = [table.column(n).combine_chunks() for n in names]
+        columns = [table.column(f.name).combine_chunks() for f in list(out)[:-2]]
         return pa.Table.from_arrays([*columns, pa.array(sequence), pa.array(offset)], schema=out)
 
     dealt = cuts.withColumn("group", key).repartition(min(groups, 8 * shuffle_tasks(docs.sparkSession)), "group")
