@@ -20,11 +20,14 @@ def _key(columns: Sequence[str]) -> Column:
     return F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
 
 
-def slice_bounds(df: DataFrame, columns: Sequence[str], slices: int | None = None) -> Column:
+def slice_bounds(
+    df: DataFrame, columns: Sequence[str], slices: int | None = None, samples: int = _SAMPLES_PER_SLICE
+) -> Column:
     """Splitters that cut the order of ``columns`` into even slices, as one value.
 
     They are taken from a fixed-size sample: the rows with the smallest key
-    hashes, so every evaluation picks the same ones.
+    hashes, so every evaluation picks the same ones. More ``samples`` a slice
+    make the slices more even.
     """
     slices = slices or default_slices(df)
 
@@ -34,9 +37,9 @@ def slice_bounds(df: DataFrame, columns: Sequence[str], slices: int | None = Non
     return (
         df.select(_key(columns).alias("k"))
         .orderBy(F.xxhash64("k"), "k")
-        .limit(_SAMPLES_PER_SLICE * slices)
+        .limit(samples * slices)
         .agg(F.sort_array(F.collect_list("k")).alias("sample"))
-        .select(every("sample", _SAMPLES_PER_SLICE).alias("splitters"))
+        .select(every("sample", samples).alias("splitters"))
         .select(F.struct("splitters", every("splitters", _STRIDE).alias("landmarks")))
         .scalar()
     )
