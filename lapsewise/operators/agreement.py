@@ -21,19 +21,25 @@ def profile_coverage(segmented: DataFrame, profile: DataFrame) -> DataFrame:
     )
 
 
+def counted_cells(df: DataFrame, row: str, column: str) -> DataFrame:
+    """The long form of a crosstab: ``(row, column, n)`` of each pair of known values that occurs."""
+    known = df.where(F.col(row).isNotNull() & F.col(column).isNotNull())
+    return known.groupBy(row, column).agg(F.count("*").alias("n"))
+
+
 def wide(cells: DataFrame, row: str, column: str) -> DataFrame:
     """Counted cells ``(row, column, n)`` as one column per value of ``column`` that occurs.
 
-    The cells are stored first: they are few, and their values name the columns.
+    The cells are stored first: they are few, and their values, however many, name the columns.
     """
     cells = durable(cells, "crosstab-cells")
-    return cells.groupBy(row).pivot(column).agg(F.sum("n")).na.fill(0)
+    names = sorted(found[0] for found in cells.select(column).where(F.col(column).isNotNull()).distinct().collect())
+    return cells.groupBy(row).pivot(column, names).agg(F.sum("n")).na.fill(0)
 
 
 def crosstab(df: DataFrame, row: str, column: str) -> DataFrame:
     """Counts per ``row`` value, one column per ``column`` value that occurs; empty cells are 0."""
-    known = df.where(F.col(row).isNotNull() & F.col(column).isNotNull())
-    return wide(known.groupBy(row, column).agg(F.count("*").alias("n")), row, column).orderBy(row)
+    return wide(counted_cells(df, row, column), row, column).orderBy(row)
 
 
 def adjusted_rand_index(df: DataFrame, left: str, right: str) -> DataFrame:

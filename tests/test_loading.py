@@ -1,4 +1,8 @@
 import datetime
+from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
+from threading import Barrier
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,9 +10,10 @@ from pyspark.sql import functions as F
 from lapsewise import schemas as S
 from lapsewise.operators import integrity
 from lapsewise.plans.seeding import orphan_report, seed_all
-from lapsewise.sources.store import append_new, read_table
+from lapsewise.sources.store import append_new, read_table, stored_keys
 from lapsewise.sources.tables import load_tables, read_csv_table, read_hidden_profile
 from lapsewise.streaming.seeding import stream_all, stream_table
+from lapsewise.workspace import durable, job, scratch_folder, shared_folder
 
 FILES = {
     S.CUSTOMER: "customer_id,tax_id,c_first_name,c_last_name\nC1,T1,Ann,Lee\nC2,,Bo,\n",
@@ -149,6 +154,94 @@ def test_stored_rows_are_never_updated(spark, tmp_path):
     assert read_table(spark, store, S.CUSTOMER).collect()[0].c_first_name == "Ann"
 
 
+def customers(spark, low, high):
+    rows = spark.range(low, high).selectExpr("lpad(cast(id AS string), 8, '0')", "'tax'", "'Ann'", "'Lee'")
+    return rows.toDF(*S.SCHEMAS[S.CUSTOMER].names)
+
+
+def scanned_files(df):
+    """Files that the plan's scans read after pruning, and all that lie in the folder."""
+    df.collect()
+    scans, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+            continue
+        if node.nodeName().startswith("Scan parquet"):
+            scans.append(node.metrics().apply("numFiles").value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return sum(scans)
+
+
+def test_an_append_of_few_keys_reads_few_files(spark, tmp_path):
+    store = str(tmp_path)
+    assert append_new(spark, store, S.CUSTOMER, customers(spark, 0, 2000)) == 2000
+    files = len(list(Path(f"{store}/{S.CUSTOMER}").rglob("*.parquet")))
+    assert files >= 16
+    few = customers(spark, 1990, 2010)  # one in a hundred
+    read = scanned_files(stored_keys(spark, store, S.CUSTOMER, few).select("customer_id"))
+    assert 0 < read <= 20 < files
+    assert append_new(spark, store, S.CUSTOMER, few) == 10
+    assert append_new(spark, store, S.CUSTOMER, few) == 0
+    assert append_new(spark, store, S.CUSTOMER, customers(spark, 0, 0)) == 0
+    kept = read_table(spark, store, S.CUSTOMER)
+    assert kept.columns == S.SCHEMAS[S.CUSTOMER].names
+    assert (kept.count(), kept.select("customer_id").distinct().count()) == (2010, 2010)
+
+
+def test_the_key_range_of_an_append_reaches_the_scan(spark, tmp_path, capsys):
+    append_new(spark, str(tmp_path), S.CUSTOMER, customers(spark, 0, 50))
+    stored_keys(spark, str(tmp_path), S.CUSTOMER, customers(spark, 10, 12)).explain()
+    plan = capsys.readouterr().out
+    assert "GreaterThanOrEqual(customer_id" in plan and ">= 00000010)" in plan and "<= 00000011)" in plan
+    assert "PartitionFilters: [" in plan and "key_bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_rows_are_written_once(spark, tmp_path):
+    """An append stores no copy of its rows first."""
+
+    def scratch():
+        return sorted((Path(shared_folder(spark).removeprefix("file:")) / "lapsewise").rglob("*.parquet"))
+
+    before = scratch()
+    assert append_new(spark, str(tmp_path), S.CUSTOMER, customers(spark, 0, 100)) == 100
+    assert scratch() == before
+    assert len(list(tmp_path.rglob("*.parquet"))) <= 100
+
+
+def test_jobs_in_threads_keep_their_own_folders(spark):
+    both = Barrier(2)
+
+    def run(n):
+        with job(spark):
+            folder = scratch_folder(spark)
+            kept = durable(spark.range(n), "numbers")
+            both.wait(60)
+            if n == 5:  # ends last: the other's end must not take its rows
+                both.wait(60)
+            counted = kept.count()
+        if n == 3:
+            both.wait(60)
+        return folder, counted
+
+    with ThreadPoolExecutor(2) as pool:
+        (a, n_a), (b, n_b) = pool.map(run, (3, 5))
+    assert a != b and (n_a, n_b) == (3, 5)
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    def session(master):
+        conf = SimpleNamespace(get=lambda key, default=None: "/warehouse" if key == "spark.sql.warehouse.dir" else default)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None))
+
+    assert shared_folder(session("local[4]")) == "/warehouse"
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://host"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(session(master))
+
+
 def test_stream_merges_new_files_only(spark, tmp_path):
     files, store, checkpoint = (tmp_path / n for n in ("files", "store", "checkpoint"))
     files.mkdir()

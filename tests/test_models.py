@@ -3,6 +3,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -98,8 +99,56 @@ def test_unknown_tenure_fails_loudly(table, forest):
 
 def test_a_column_of_mostly_distinct_values_is_no_category(spark):
     df = spark.range(20_000).selectExpr("cast(id AS string) insurance_product", "'Monthly' payment_frequency")
-    with pytest.raises(ValueError, match="insurance_product"):
-        models.check_categories(df)
+    with pytest.raises(ValueError, match="insurance_product has 20000 values"):
+        models.check_categories(df, most=19_999)
+    models.check_categories(df, most=20_000)
+
+
+def test_fifty_thousand_categories_are_encoded(spark):
+    numbers = ", ".join(f"cast(id % {7 + i} AS double) AS {c}" for i, c in enumerate(S.BEHAVIOUR_FEATURES))
+    df = spark.range(50_000).selectExpr("cast(id AS string) insurance_product", "'Monthly' payment_frequency", *numbers.split(", "))
+    models.check_categories(df)
+    fitted = Pipeline(stages=models.preprocessing(50_000)).fit(df)
+    got = fitted.transform(df).select("insurance_product", "features").where("insurance_product = '777'").head()["features"]
+    assert got.size == len(S.BEHAVIOUR_FEATURES) + 50_001
+    flags = [i for i, v in zip(got.indices, got.values) if i >= len(S.BEHAVIOUR_FEATURES) and v == 1.0]
+    assert len(flags) == 2
+
+
+def test_newton_steps_settle_in_few_passes(spark, table, monkeypatch):
+    passes = []
+    whole = models.derivatives
+    monkeypatch.setattr(models, "derivatives", lambda *args: passes.append(1) or whole(*args))
+    model = models.fit_classifier(table)
+    assert 2 < len(passes) < 12
+    assert abs(model.stages[-1].intercept) < 1e3
+
+
+def test_all_starts_move_in_the_same_pass(spark, monkeypatch):
+    """Three separate groups: every start finds them, each pass is one job for all starts."""
+    df = behaviour_rows(spark, [(30, 0.0), (30, 5.0), (30, 9.0)])
+    steps = []
+    whole = segments.move_centres
+    monkeypatch.setattr(segments, "move_centres", lambda vectors, centres: steps.append(len(centres)) or whole(vectors, centres))
+    got = segments.assign_segments(segments.fit_segments(df, 3), df).collect()
+    groups = {g: {r.cluster for r in got if r.policy_num.startswith(f"P{g}")} for g in "012"}
+    assert all(len(c) == 1 for c in groups.values()) and len(set.union(*groups.values())) == 3
+    assert steps[0] == 10 and len(steps) < 30
+
+
+def test_a_step_of_several_sets_equals_plain_lloyd(spark):
+    rng = np.random.default_rng(2)
+    rows = rng.normal(size=(200, 3))
+    centres = rng.normal(size=(4, 3, 3))
+    df = spark.createDataFrame([(r.tolist(),) for r in rows], "z array<double>").repartition(3)
+    moved, costs = segments.move_centres(df, centres)
+    for i in range(4):
+        apart = ((rows[:, None] - centres[i]) ** 2).sum(axis=2)
+        near = apart.argmin(axis=1)
+        assert np.isclose(costs[i], apart.min(axis=1).sum())
+        for c in range(3):
+            wanted = rows[near == c].mean(axis=0) if (near == c).any() else centres[i][c]
+            assert np.allclose(moved[i][c], wanted)
 
 
 def test_standardized_matches_numpy(spark):

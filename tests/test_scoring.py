@@ -8,6 +8,7 @@ from lapsewise.fixed_values import ACTIONS
 from lapsewise.operators import models, profiling, reporting
 from lapsewise.operators.scores import latest_batch, latest_scores, risk_trend
 from lapsewise.plans import report, scoring
+from lapsewise.sources import store as store_module
 from lapsewise.sources.store import (
     read_batch_log,
     read_table,
@@ -83,6 +84,28 @@ def test_history_keeps_batches_and_ignores_a_repeated_one(spark, batch, tmp_path
     assert len(changes) == 40 and all(r.probability_change == 0 for r in changes)
 
 
+def test_a_failed_commit_leaves_the_old_batch(spark, batch, tmp_path, monkeypatch):
+    """The rows of a batch are there, but its log row is not: no reader sees them, and a retry counts them once."""
+    store = str(tmp_path)
+    later = batch.scores.withColumn("scored_at", F.expr("scored_at + INTERVAL 1 DAY"))
+    assert write_risk_scores(spark, store, batch.scores) == 40
+
+    def fails(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(store_module, "_commit", fails)
+        with pytest.raises(OSError, match="lost"):
+            write_risk_scores(spark, store, later)
+    history, log = read_table(spark, store, S.RISK_SCORE), read_batch_log(spark, store)
+    assert history.count() == 40 == latest_batch(history, log).count()
+    assert {r.scored_at for r in latest_batch(history, log).collect()} == {AT}
+    assert latest_batch(history).agg(F.max("scored_at")).head()[0] == AT
+    assert len(store_module.drop_uncommitted(spark, store)) == 1 and store_module.drop_uncommitted(spark, store) == []
+    assert write_risk_scores(spark, store, later) == 40
+    assert read_table(spark, store, S.RISK_SCORE).count() == 80
+
+
 def test_end_to_end_batch(spark, forest, tmp_path):
     model_path = save_model(forest, str(tmp_path / "model"))
     pol = policies(
