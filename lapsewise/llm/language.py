@@ -22,6 +22,8 @@ from lapsewise.llm.common import map_texts, unpacked, with_found
 ORDER, BUCKETS = 3, 1 << 15
 #: Bounds of the training sample and of the landmarks, for each language.
 SAMPLE_PER_LANGUAGE, LANDMARKS_PER_LANGUAGE = 400, 24
+#: What a table may hold; its sample, and the model, grow with the languages.
+MOST_LANGUAGES = 10_000
 RIDGE = 1e-3
 UNKNOWN = "und"
 #: Texts whose presence matrix is built at a time, and characters hashed at a time.
@@ -79,7 +81,7 @@ class Model:
 
 
 def train(texts: list[str], languages: list[str]) -> Model | None:
-    """Landmarks are the first texts of each language; the rest of the method is exact."""
+    """Landmarks are the first texts of each language, which come in the order of a draw; the rest of the method is exact."""
     texts, languages = [list(x) for x in zip(*[(t, lang) for t, lang in zip(texts, languages) if has_letters(t)])] or ([], [])
     if not texts:
         return None
@@ -107,17 +109,28 @@ def train(texts: list[str], languages: list[str]) -> Model | None:
     return model
 
 
+def sample(docs: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
+    """(draw, text, lang): about ``sample_per_language`` different documents of each language, drawn by a
+    hash of id and text. Repeated rows are one document, so neither they nor a null or repeated id can
+    make the sample larger. More than MOST_LANGUAGES languages are refused."""
+    rows = docs.select(
+        F.xxhash64(F.lit("language"), F.col("doc_id"), F.col("text").cast("string")).alias("draw"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
+    ).filter("text is not null and lang is not null")
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("draw").alias("n"))
+    n_languages = counts.count()
+    if n_languages > MOST_LANGUAGES:
+        raise ValueError(f"{n_languages} languages; at most {MOST_LANGUAGES} can be learned")
+    share = F.pmod(F.col("draw"), F.lit(1_000_000)) / 1_000_000
+    drawn = rows.join(F.broadcast(counts), "lang").filter(share < F.lit(float(sample_per_language)) / F.col("n"))
+    return drawn.select("draw", "text", "lang").distinct()
+
+
 def fit(docs: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) -> Model | None:
     """A model from the text and lang of ``docs``; rows where either is null are not used.
 
-    At most about ``sample_per_language`` rows of each language, chosen by a hash, reach the driver;
-    None if there is no usable row.
+    Only the drawn ``sample`` reaches the driver; None if there is no usable row.
     """
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter("text is not null and lang is not null")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("language")), F.lit(1_000_000)) / 1_000_000
-    found = rows.join(F.broadcast(counts.limit(100_000)), "lang").filter(draw < F.lit(float(sample_per_language)) / F.col("n")).select("doc_id", "text", "lang").toPandas()
-    found = found.sort_values(["doc_id", "text"])
+    found = sample(docs, sample_per_language).toPandas().sort_values(["draw", "text", "lang"])
     return train(found["text"].tolist(), found["lang"].tolist())
 
 

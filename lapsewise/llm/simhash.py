@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapsewise.llm.common import arrow_schema, id_and_text, map_texts, shuffle_tasks, stored, words
+from lapsewise.llm.common import all_columns, arrow_schema, id_and_text, map_texts, shuffle_tasks, stored, unpacked, words
 from lapsewise.llm.components import components
 
 FANOUT = 8
@@ -57,15 +57,17 @@ def _ones(hashes: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, code): the fingerprint of every whole text as a signed 64-bit number."""
+    """(doc_id, code, text_hash): the fingerprint of every whole text as a signed 64-bit number, and
+    the hash that Spark's xxhash64 gives of the text."""
 
     def make():
         def score(texts: list[str]) -> dict:
-            return {"code": np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts)).view(np.int64)}
+            whole = np.fromiter((xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), 42) for t in texts), np.uint64, len(texts))
+            return {"code": np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts)).view(np.int64), "text_hash": whole.view(np.int64)}
 
         return score
 
-    return map_texts(docs, make, "doc_id long, code long")
+    return map_texts(docs, make, "doc_id long, code long, text_hash long")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -224,6 +226,14 @@ def code_links(codes: DataFrame, max_bits: int = 3, bucket_codes: int = 4096) ->
         level = stored(_deal(level.join(hot, "bucket", "left_semi").select("bucket", "unused", "code"), max_bits + 1), "simhash-buckets")
 
 
+def grouped_codes(prints: DataFrame, max_bits: int = 3, bucket_codes: int = 4096) -> DataFrame:
+    """(code, component): each distinct code with the name of its component."""
+    codes = prints.select("code").distinct()
+    links = stored(code_links(codes, max_bits, bucket_codes), "simhash-links")
+    group = components(links)
+    return codes.join(group, codes.code == group.node, "left").select("code", F.coalesce("component", "code").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, bucket_codes: int = 4096) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs``.
 
@@ -232,12 +242,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, bucket
     as often as they occur. An empty table gives an empty result.
     """
     prints = stored(fingerprints(docs, shingle), "simhash")
-    classes = prints.groupBy("code").agg(F.min("doc_id").alias("smallest"))
-    links = stored(code_links(classes.select("code"), max_bits, bucket_codes), "simhash-links")
-    group = components(links)
-    grouped = classes.join(group, classes.code == group.node, "left").select(
-        "code", "smallest", F.coalesce("component", "code").alias("component")
-    )
+    smallest = prints.groupBy("code").agg(F.min("doc_id").alias("smallest"))
+    grouped = grouped_codes(prints, max_bits, bucket_codes).join(smallest, "code")
     ids = grouped.groupBy("component").agg(F.min("smallest").alias("component_id"))
     named = grouped.join(ids, "component").select("code", "component_id")
     return prints.join(named, "code").select(
@@ -245,11 +251,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, bucket
     )
 
 
-def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """``docs`` with one document, that of the smallest id, of each component; rows without an id
-    are kept, as they name no document that could stand for them."""
-    leaders = near_duplicates(docs, shingle, max_bits).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(leaders, "doc_id", "left_anti")
+def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3, bucket_codes: int = 4096) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id, null ids last, and of equal
+    ids that of the smallest text hash. Rows of equal id and text are one document and stay as one."""
+    prints = stored(fingerprints(docs, shingle), "simhash")
+    named = prints.groupBy("doc_id", "text_hash", "code").agg(F.count("*").alias("times"))
+    named = named.join(grouped_codes(prints, max_bits, bucket_codes), "code")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
+    first = named.groupBy("component").agg(F.min(place).alias("first"))
+    judged = named.join(first, "component").select(
+        F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_text"), (place == F.col("first")).alias("leads"), "times"
+    )
+    # most documents lead alone: only the others need to be told
+    told = judged.filter(~F.col("leads") | (F.col("times") > 1))
+    text_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    rows = docs.select(all_columns(docs).alias("doc"), F.col("doc_id").cast("long").alias("id"), text_hash.alias("text_hash"))
+    same = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_text"))
+    rows = rows.join(told, same, "left").filter(F.coalesce("leads", F.lit(True)))
+    alone = rows.filter(F.col("times").isNull()).select("doc")
+    repeated = rows.filter(F.col("times").isNotNull()).groupBy("id", "text_hash").agg(F.first("doc").alias("doc"))
+    return alone.unionByName(repeated.select("doc")).select(*unpacked(docs))
 
 
 __all__ = ["fingerprint", "fingerprints", "gray_rank", "GrayIndex", "code_links", "near_duplicates", "keep_one", "id_and_text"]

@@ -32,6 +32,8 @@ from lapsewise.llm.common import all_columns, arrow_schema, plane_pack, plane_un
 
 #: Bytes of text in a shard.
 SHARD_BYTES = 8_000_000
+#: Hashes that a part of the hash range gets at most, on the average; a word and its space take two bytes or more.
+PART_HASHES = 4_000_000
 NO_DOC = np.iinfo(np.int64).max
 #: Odd multipliers of the rolling polynomials modulo 2^64: blocks, windows, windows' further bits.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -145,7 +147,20 @@ def _answers(table: pa.Table) -> list[dict]:
     return table.to_pylist()
 
 
-def repeats(docs: DataFrame, window: int = 50, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def sizes(text_bytes: int, tasks: int, shard_bytes: int = SHARD_BYTES, part_hashes: int = PART_HASHES) -> tuple[int, int]:
+    """How many shards, and by how many bits of the hash parts are told apart: both grow with the text."""
+    parts = max(tasks, -(-text_bytes // (2 * part_hashes)))
+    return max(-(-text_bytes // shard_bytes), tasks), max(1, (parts - 1).bit_length())
+
+
+def in_shards(docs: DataFrame, shards: int) -> DataFrame:
+    """(doc, shard). Rows of equal id and text go by their partition too, so that rows that repeat
+    everywhere are not one shard."""
+    key = F.xxhash64(F.col("doc_id").cast("string"), F.col("text"), F.spark_partition_id())
+    return docs.select(all_columns(docs).alias("doc"), F.pmod(key, F.lit(shards)).cast("int").alias("shard"))
+
+
+def repeats(docs: DataFrame, window: int = 50, shard_bytes: int = SHARD_BYTES, part_hashes: int = PART_HASHES) -> DataFrame:
     """``docs`` with the result of removing repeated windows, as a struct column ``cut``:
     n_words, n_removed, kept (the kept words joined by one space) and spans (first word and word
     after the last of each maximal repeat that was removed).
@@ -158,14 +173,9 @@ def repeats(docs: DataFrame, window: int = 50, shard_bytes: int = SHARD_BYTES) -
         raise ValueError("the window must be an even number of words")
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
-    tasks = shuffle_tasks(spark)
-    shards = max(-(-size // shard_bytes), tasks)
-    bits = max(1, (tasks - 1).bit_length())
+    shards, bits = sizes(size, shuffle_tasks(spark), shard_bytes, part_hashes)
     parts, window_parts = Parts(bits, BLOCK_BYTES), Parts(bits, WINDOW_BYTES)
-    dealt = docs.select(
-        all_columns(docs).alias("doc"),
-        F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.col("text")), F.lit(shards)).cast("int").alias("shard"),
-    )
+    dealt = in_shards(docs, shards)
 
     def shard_of(table: pa.Table) -> Shard:
         doc = table.column("doc").combine_chunks()
