@@ -48,22 +48,58 @@ def one_row_per_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
     key constraint would.
     """
     rest = [c for c in df.columns if c not in key]
-    checked = df.select(
-        *[F.coalesce(F.col(k), F.raise_error(F.lit(f"{k} is NULL"))).alias(k) for k in key], *rest
-    )
+    checked = _checked(df, key).select(*key, *rest)
     if not rest:
         return checked.distinct()
     kept = checked.groupBy(*key).agg(F.min(F.struct(*rest)).alias("kept"))
     return kept.select(*key, "kept.*").select(df.columns)
 
 
+def _checked(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    return df.withColumns({k: F.coalesce(F.col(k), F.raise_error(F.lit(f"{k} is NULL"))) for k in key})
+
+
+_HASH = "_key_hash"
+#: Hashes of repeated keys that every task is sent; with more, all rows are grouped.
+HASHES_SENT = 100_000
+
+
+def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Hashes of the keys that several rows have (and, by chance, of some other keys).
+
+    Only the hashes are grouped, so neither the rows nor their keys are sent around.
+    """
+    hashes = df.select(F.xxhash64(*key).alias(_HASH))
+    return hashes.groupBy(_HASH).agg(F.count("*").alias("n")).where("n > 1").select(_HASH)
+
+
+def keep_one_of_repeated(
+    df: DataFrame, key: Sequence[str], repeated: DataFrame, hashes_sent: int = HASHES_SENT
+) -> DataFrame:
+    """``one_row_per_key`` that leaves the rows of all other keys where they are.
+
+    ``repeated`` are the ``repeated_keys`` of these rows, or of more rows.
+    """
+    hashes = repeated.limit(hashes_sent + 1).toArrow()
+    if hashes.num_rows > hashes_sent:
+        return one_row_per_key(df, key)
+    if hashes.num_rows == 0:
+        return _checked(df, key)
+    sent, hashed = F.broadcast(df.sparkSession.createDataFrame(hashes)), df.withColumn(_HASH, F.xxhash64(*key))
+    once, again = (hashed.join(sent, _HASH, how).select(df.columns) for how in ("left_anti", "left_semi"))
+    return _checked(once, key).unionByName(one_row_per_key(again, key))
+
+
+def unknown_rows(incoming: DataFrame, existing: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows of ``incoming`` whose key is not in ``existing``; of that only the key columns are read."""
+    # a missing key is in no table, so it passes on to the check
+    return incoming.join(existing.select(*key), list(key), "left_anti").select(incoming.columns)
+
+
 def new_rows(incoming: DataFrame, existing: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows of ``incoming`` whose key is not in ``existing`` yet, one per key.
 
     Existing rows are never touched; only their key columns are read. Known
     keys go first, so a repeated load sorts and groups next to nothing.
     """
-    columns = list(key)
-    # a missing key is in no table, so it passes on to the check
-    unknown = incoming.join(existing.select(*key), columns, "left_anti").select(incoming.columns)
-    return one_row_per_key(unknown, key)
+    return one_row_per_key(unknown_rows(incoming, existing, key), key)

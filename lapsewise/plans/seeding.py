@@ -39,6 +39,9 @@ def seed_counts(incoming: Mapping[str, DataFrame], stored: Mapping[str, DataFram
     return new.join(whole, "table_name")
 
 
+_KNOWN, _ORPHAN = "_parent_is_stored", "_is_orphan"
+
+
 def merge_file(
     spark: SparkSession, store: str, table: str, rows: DataFrame, on_orphan: str = "fail"
 ) -> tuple[int, int, int]:
@@ -46,27 +49,26 @@ def merge_file(
 
     A row whose parent is not stored fails the load, as a foreign key would, or
     is kept in the quarantine of its table, from where its file can be loaded
-    again once the parent is there. The rows are stored once: the check and the
-    merge then read columns, not the source.
+    again once the parent is there. The rows meet the parents' keys on their way
+    from the source and are stored once, marked: the check and the merge then read
+    columns, and the rows that are to be kept back and to be loaded are not joined again.
     """
     if on_orphan not in ("fail", "quarantine"):
         raise ValueError(f"on_orphan is 'fail' or 'quarantine', not {on_orphan!r}")
-    came = durable(rows, f"file-{table}")
-    rows, kept_back = came, 0
+    is_orphan = F.lit(False)
     if table in S.FOREIGN_KEYS:
         column, parent = S.FOREIGN_KEYS[table]
-        parent_key = S.PRIMARY_KEYS[parent][0]
-        parents = read_table(spark, store, parent)
-        example = orphan_keys(came, parents, column, parent_key).head()
-        if example is not None:
-            if on_orphan == "fail":
-                raise ValueError(f"{table}.{column} {example[0]!r} has no row in {parent}")
-            known = parents.select(F.col(parent_key).alias(column))
-            without = came.where(F.col(column).isNotNull()).join(known, column, "left_anti").select(came.columns)
-            kept_back = quarantine(spark, store, table, without)
-            with_parent = came.join(known, column, "left_semi").select(came.columns)
-            rows = with_parent.unionByName(came.where(F.col(column).isNull()))
-    return append_new(spark, store, table, rows), kept_back, came.count()
+        known = read_table(spark, store, parent).select(F.col(S.PRIMARY_KEYS[parent][0]).alias(column)).distinct()
+        rows = rows.join(known.withColumn(_KNOWN, F.lit(True)), column, "left")
+        is_orphan = F.col(column).isNotNull() & F.col(_KNOWN).isNull()
+    came = durable(rows.select(*S.SCHEMAS[table].names, is_orphan.alias(_ORPHAN)), f"file-{table}")
+    orphans, with_parent = (came.where(c).drop(_ORPHAN) for c in (F.col(_ORPHAN), ~F.col(_ORPHAN)))
+    kept_back, example = 0, orphans.head()
+    if example is not None:
+        if on_orphan == "fail":
+            raise ValueError(f"{table}.{column} {example[column]!r} has no row in {parent}")
+        kept_back = quarantine(spark, store, table, orphans)
+    return append_new(spark, store, table, with_parent), kept_back, came.count()
 
 
 def seed_all(spark: SparkSession, csv_folder: str, store: str, on_orphan: str = "fail") -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lapsewise import schemas as S
-from lapsewise.operators.integrity import new_rows
+from lapsewise.operators.integrity import keep_one_of_repeated, new_rows, repeated_keys, unknown_rows
 from lapsewise.workspace import n_tasks
 
 PARTITION = "scored_date"
@@ -71,6 +71,8 @@ def _new_write() -> str:
 def stored_keys(spark: SparkSession, folder: str, table: str, incoming: DataFrame) -> DataFrame:
     """The stored rows that can have a key of ``incoming``: those of its buckets and its range of keys."""
     key = S.PRIMARY_KEYS[table][0]
+    if not _keyed(spark, folder, table).inputFiles():
+        return _keyed(spark, folder, table).limit(0)
     # one row a bucket
     touched = incoming.groupBy(key_bucket(table).alias(BUCKET)).agg(F.min(key).alias("low"), F.max(key).alias("high")).collect()
     buckets = [row[BUCKET] for row in touched]
@@ -87,13 +89,18 @@ def append_new(spark: SparkSession, folder: str, table: str, incoming: DataFrame
     The stored files are listed before the append starts, so reading the keys
     of the folder that is added to is safe. (An observed write would count the rows
     for free, but a session that has used one can no longer run a fitted forest.)
+
+    ``incoming`` is read several times and should be stored. Its rows are shuffled once, to
+    their buckets; which keys it repeats is found from their hashes alone.
     """
     key = S.PRIMARY_KEYS[table]
-    fresh = new_rows(incoming, stored_keys(spark, folder, table, incoming), key)
+    unknown = unknown_rows(incoming, stored_keys(spark, folder, table, incoming), key)
+    fresh = keep_one_of_repeated(unknown, key, repeated_keys(incoming, key))
     write_id = _new_write()
     # every task writes into one bucket, however many tasks there are
     share = F.pmod(F.hash(*key), F.lit(-(-n_tasks(spark) // BUCKETS)))
-    laid = fresh.withColumns({BUCKET: key_bucket(table), WRITE: F.lit(write_id)}).repartition(n_tasks(spark), F.col(BUCKET), share)
+    laid = fresh.repartition(n_tasks(spark), key_bucket(table), share)
+    laid = laid.withColumns({BUCKET: key_bucket(table), WRITE: F.lit(write_id)})
     laid.sortWithinPartitions(BUCKET, *key).write.mode("append").partitionBy(BUCKET, WRITE).parquet(f"{folder}/{table}")
     return _keyed(spark, folder, table).where(F.col(WRITE) == write_id).count()
 

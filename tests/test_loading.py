@@ -211,6 +211,28 @@ def test_rows_are_written_once(spark, tmp_path):
     assert len(list(tmp_path.rglob("*.parquet"))) <= 100
 
 
+def test_only_rows_of_repeated_keys_are_grouped(spark):
+    incoming = spark.createDataFrame([("a", 2), ("a", 1), ("b", 5), ("c", 7), ("c", 7)], "k string, v int")
+    repeated = integrity.repeated_keys(incoming, ["k"])
+    assert repeated.count() == 2
+    for sent in (100, 1):  # more hashes than may be sent: all rows are grouped
+        kept = integrity.keep_one_of_repeated(incoming, ["k"], repeated, sent)
+        assert sorted(tuple(r) for r in kept.collect()) == [("a", 1), ("b", 5), ("c", 7)]
+    unique = incoming.where("k = 'b'")
+    kept = integrity.keep_one_of_repeated(unique, ["k"], integrity.repeated_keys(unique, ["k"]))
+    assert kept.collect() == [("b", 5)]
+    for keys in (["x", None], ["x", None, None]):
+        missing = spark.createDataFrame([(k, 1) for k in keys], "k string, v int")
+        with pytest.raises(Exception, match="k is NULL"):
+            integrity.keep_one_of_repeated(missing, ["k"], integrity.repeated_keys(missing, ["k"])).collect()
+
+
+def test_rows_of_single_keys_are_not_shuffled_to_be_told_apart(spark, capsys):
+    unique = spark.range(100).selectExpr("cast(id AS string) AS k", "id AS v")
+    integrity.keep_one_of_repeated(unique, ["k"], integrity.repeated_keys(unique, ["k"])).explain()
+    assert "Exchange" not in capsys.readouterr().out
+
+
 def test_jobs_in_threads_keep_their_own_folders(spark):
     both = Barrier(2)
 
