@@ -14,6 +14,7 @@ from lapsewise.plans import training
 from lapsewise.plans.explanation import explain_held_out
 from lapsewise.sources.store import load_model, save_model
 from tests.fixtures import one_driver
+from verification.model_checks import WalkedNodes, walked_probability, walked_values
 
 SMALL_FOREST = dict(n_trees=20, max_depth=4)
 
@@ -202,6 +203,26 @@ def test_saved_model_predicts_the_same(table, forest, tmp_path):
     assert read(again) == read(forest)
 
 
+def test_rows_are_walked_down_every_tree_where_they_lie(table, forest, capsys):
+    scored = models.predict(forest, table.unionByName(table.limit(3)))
+    walked = walked_probability(scored, forest)
+    walked.explain()
+    assert "Join" not in capsys.readouterr().out
+    expected = {r.policy_num: r.churn_probability for r in scored.collect()}
+    found = {r.policy_num: r.walked_p for r in walked.collect()}
+    assert len(expected) == 40 and found == pytest.approx(expected, abs=1e-12)
+
+
+def test_the_walk_follows_splits_by_category():
+    nodes = WalkedNodes(
+        roots=np.array([0, 3]), feature=np.array([0, 0, 0, 1, 0, 0]), threshold=np.array([1.0, np.nan, np.nan, 0.5, np.nan, np.nan]),
+        left=np.array([1, 1, 2, 4, 4, 5]), right=np.array([2, 1, 2, 5, 4, 5]), value=np.array([0, 0.2, 0.6, 0, 0.4, 0.8]),
+        category_row=np.array([0, -1, -1, -1, -1, -1]), goes_left=np.array([[False, True, False, True, False]]),
+    )
+    x = np.array([[1.0, 0.5], [3.0, 0.6], [0.0, 0.0], [2.0, 9.0], [9.0, 0.0]])
+    assert walked_values(x, nodes, 1) == pytest.approx([0.3, 0.5, 0.5, 0.7, 0.5])
+
+
 # --- attribution
 
 
@@ -212,6 +233,17 @@ def test_contributions_add_up_to_the_probability(table, forest):
         assert r.base_value + sum(r.contributions) == pytest.approx(r.churn_probability, abs=1e-12)
 
 
+def test_contributions_of_many_rows_are_looked_up_by_their_outcomes(table, forest, spark, monkeypatch):
+    """Leaves are worked out once per outcome of their tests, with the bits that each row alone gets."""
+    leaves = [tuple(g) for group in attribution.forest_leaves(forest, spark) for g in group]
+    x = np.random.default_rng(3).normal(size=(300, len(models.feature_names(forest))))
+    alone = np.concatenate([attribution.contributions_of(x[i : i + 1], leaves) for i in range(len(x))])
+    widths, plain = [], attribution._slot_values
+    monkeypatch.setattr(attribution, "_slot_values", lambda met, *rest: widths.append(met[0].shape[-1]) or plain(met, *rest))
+    assert np.array_equal(attribution.contributions_of(x, leaves), alone)
+    assert max(widths) <= 2**4 and np.abs(alone).max() > 0
+
+
 def expected_output(nodes, row, known, at=0):
     """Mean leaf value when only the ``known`` features are followed."""
     node = nodes[at]
