@@ -221,5 +221,6 @@ def packed(
         columns = [table.column(f.name).combine_chunks() for f in list(out)[:-2]]
         return pa.Table.from_arrays([*columns, pa.array(sequence), pa.array(offset)], schema=out)
 
-    dealt = cuts.withColumn("group", key).repartition(min(groups, 8 * shuffle_tasks(docs.sparkSession)), "group")
+    # a task packs one group after another, so it is no larger with many of them; each task writes a file
+    dealt = cuts.withColumn("group", key).repartition(min(groups, shuffle_tasks(docs.sparkSession)), "group")
     return dealt.groupBy("group").applyInArrow(place, schema)

@@ -153,6 +153,15 @@ def test_packed_sequences(documents, rows_of, vocabulary, no_documents):
     assert packing.packed(no_documents, VOCABULARY).count() == 0
 
 
+def test_many_groups_share_the_tasks(spark):
+    docs = spark.range(400).selectExpr("id AS doc_id", "repeat('word ', 40) AS text")
+    found = packing.packed(docs, VOCABULARY, window=16, piece=4, group_windows=1)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    assert found.select(F.shiftright("sequence_id", packing.GROUP_SHIFT)).distinct().count() > 8 * tasks
+    assert found.rdd.getNumPartitions() <= tasks
+    assert found.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 16").isEmpty()
+
+
 def test_padding_is_little(spark, vocabulary):
     rng = np.random.default_rng(3)
     rows = [(i, " ".join(["word"] * int(n))) for i, n in enumerate(rng.lognormal(5, 1, 600))]
