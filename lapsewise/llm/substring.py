@@ -21,6 +21,8 @@ documents costs a part one entry a shard. Hashes, not texts, travel; the texts a
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -34,6 +36,10 @@ from lapsewise.llm.common import all_columns, arrow_schema, plane_pack, plane_un
 SHARD_BYTES = 8_000_000
 #: Hashes that a part of the hash range gets at most, on the average; a word and its space take two bytes or more.
 PART_HASHES = 4_000_000
+#: The hashes of a shard are sorted in this many slices of their range, so that a sort's copies stay small.
+SLICE_BITS = 3
+#: Bytes of kept words that a task holds as Python strings.
+KEPT_BYTES = 1_000_000
 NO_DOC = np.iinfo(np.int64).max
 #: Odd multipliers of the rolling polynomials modulo 2^64: blocks, windows, windows' further bits.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -57,30 +63,49 @@ def rolling(hashes: np.ndarray, width: int, base: int) -> np.ndarray:
 
 
 class Shard:
-    """The documents of a shard that are long enough to hold a window."""
+    """The word hashes of the documents of a shard that are long enough to hold a window. Texts are
+    read one after the other, and their words are not kept."""
 
-    def __init__(self, doc_ids: list, texts: list, window: int):
+    def __init__(self, docs: pa.ChunkedArray, window: int):
         self.window, self.block = window, window // 2
-        self.tokens = [words(text or "") for text in texts]
-        self.ids = [NO_DOC if i is None else i for i in doc_ids]
-        self.long = [i for i, t in enumerate(self.tokens) if len(t) >= window]
-        self.hashes = [np.fromiter(map(xxhash.xxh64_intdigest, self.tokens[i]), np.uint64, len(self.tokens[i])) for i in self.long]
-
-    def over_docs(self, width: int, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(hash, document id, position) of every ``width`` consecutive words."""
-        rolled = [rolling(h, width, base) for h in self.hashes]
-        sizes = [len(r) for r in rolled]
-        doc = np.repeat(np.array([self.ids[i] for i in self.long], np.int64), sizes)
-        position = np.concatenate([np.arange(n) for n in sizes]) if sizes else np.zeros(0, np.int64)
-        return np.concatenate([np.zeros(0, np.uint64), *rolled]), doc, position
+        self.ids = np.array([NO_DOC if i is None else i for c in docs.chunks for i in c.field("doc_id").to_pylist()], np.int64)
+        self.long, self.hashes = [], []
+        for i, tokens in enumerate(words_of(docs)):
+            if len(tokens) >= window:
+                self.long.append(i)
+                self.hashes.append(np.fromiter(map(xxhash.xxh64_intdigest, tokens), np.uint64, len(tokens)))
+
+    def sizes(self, width: int) -> np.ndarray:
+        """How often ``width`` consecutive words begin in each document."""
+        return np.array([len(h) - width + 1 for h in self.hashes], np.int64)
+
+    def over_docs(self, width: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, document id) of every ``width`` consecutive words."""
+        sizes = self.sizes(width)
+        ends = np.cumsum(sizes)
+        keys = np.empty(sizes.sum(), np.uint64)
+        for h, n, end in zip(self.hashes, sizes, ends):
+            keys[end - n : end] = rolling(h, width, base)
+        return keys, np.repeat(self.ids[self.long], sizes)
 
     def blocks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return self.over_docs(self.block, BASES[0])
+        """(hash, document id, whether it is an anchor) of every block."""
+        keys, doc = self.over_docs(self.block, BASES[0])
+        anchor = np.zeros(len(keys), bool)
+        start = 0
+        for n in self.sizes(self.block).tolist():
+            anchor[start : start + n : self.block] = True
+            start += n
+        return keys, doc, anchor
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """(hash, document id) of every window."""
-        first, doc, _ = self.over_docs(self.window, BASES[1])
-        return first, doc
+        return self.over_docs(self.window, BASES[1])
+
+
+def words_of(docs: pa.ChunkedArray) -> Iterator[list[bytes]]:
+    """The words of each document's text, one document in memory at a time."""
+    return (words(text.as_py() or "") for c in docs.chunks for text in c.field("text"))
 
 
 def least(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -128,6 +153,13 @@ class Parts:
             here = slice(edges[part], edges[part + 1])
             yield int(part), here, plane_pack(self.inside(keys[here]), self.width)
 
+    def slices(self, keys: np.ndarray) -> Iterator[np.ndarray]:
+        """Where the keys of each slice of the range are; a part lies in one slice."""
+        bits = min(SLICE_BITS, self.bits)
+        top = (keys >> np.uint64(64 - bits)).astype(np.uint8)
+        for number in range(1 << bits):
+            yield np.flatnonzero(top == number)
+
     def inside(self, keys: np.ndarray) -> np.ndarray:
         return (keys << np.uint64(self.bits)) >> np.uint64(self.bits) >> self.shift
 
@@ -177,24 +209,21 @@ def repeats(docs: DataFrame, window: int = 50, shard_bytes: int = SHARD_BYTES, p
     parts, window_parts = Parts(bits, BLOCK_BYTES), Parts(bits, WINDOW_BYTES)
     dealt = in_shards(docs, shards)
 
-    def shard_of(table: pa.Table) -> Shard:
-        doc = table.column("doc").combine_chunks()
-        return Shard(doc.field("doc_id").to_pylist(), doc.field("text").to_pylist(), window)
-
     probe_schema = "part int, shard int, keys binary, several binary, anchors binary, anchor_docs binary"
     probe_out = arrow_schema(probe_schema)
 
     def probe(table: pa.Table) -> pa.Table:
-        shard, number = shard_of(table), table.column("shard")[0].as_py()
-        keys, doc, position = shard.blocks()
+        shard, number = Shard(table.column("doc"), window), table.column("shard")[0].as_py()
+        keys, doc, anchor = shard.blocks()
         keys = parts.short(keys)
-        anchor = position % shard.block == 0
-        anchors = {p: (raw, low) for p, raw, low in _with(parts, *least(keys[anchor], doc[anchor])[:2])}
-        distinct, _, several = least(keys, doc)
         rows = []
-        for part, here, raw in parts.split(distinct):
-            own, low = anchors.get(part, (b"", _ids(np.zeros(0, np.int64))))
-            rows.append((part, number, raw, np.packbits(several[here]).tobytes(), own, low))
+        for here in parts.slices(keys):
+            own = here[anchor[here]]
+            anchors = {p: (raw, low) for p, raw, low in _with(parts, *least(keys[own], doc[own])[:2])}
+            distinct, _, several = least(keys[here], doc[here])
+            for part, at, raw in parts.split(distinct):
+                own, low = anchors.get(part, (b"", _ids(np.zeros(0, np.int64))))
+                rows.append((part, number, raw, np.packbits(several[at]).tobytes(), own, low))
         return _table(probe_out, rows)
 
     answer_schema = "shard int, part int, keys binary, docs binary"
@@ -233,15 +262,22 @@ def repeats(docs: DataFrame, window: int = 50, shard_bytes: int = SHARD_BYTES, p
     def extend(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not answers.num_rows or not table.num_rows:
             return answer_out.empty_table()
-        shard, number = shard_of(table), table.column("shard")[0].as_py()
-        keys, doc, position = shard.blocks()
-        found = lookup(parts.short(keys), *gathered(answers, parts))
-        # a hit in this document, or one of its own anchors that another document hits
-        hit = (found < doc) | ((found != NO_DOC) & (position % shard.block == 0))
-        first, owner = shard.windows()
-        around = _near(hit, position, shard.window - shard.block)
-        distinct, low, _ = least(first[around], owner[around])
-        return _table(answer_out, [(number, part, raw, docs_of) for part, raw, docs_of in _with(window_parts, distinct, low)])
+        shard, number = Shard(table.column("doc"), window), table.column("shard")[0].as_py()
+        keys, doc, anchor = shard.blocks()
+        hits = gathered(answers, parts)
+        hit = np.zeros(len(keys), bool)
+        for here in parts.slices(keys):
+            found = lookup(parts.short(keys[here]), *hits)
+            # a hit in this document, or one of its own anchors that another document hits
+            hit[here] = (found < doc[here]) | ((found != NO_DOC) & anchor[here])
+        del keys, doc, anchor, hits
+        around = _near(hit, shard.sizes(shard.block), shard.window - shard.block)
+        first, owner = (x[around] for x in shard.windows())
+        rows = []
+        for here in window_parts.slices(first):
+            distinct, low, _ = least(first[here], owner[here])
+            rows += [(number, part, raw, docs_of) for part, raw, docs_of in _with(window_parts, distinct, low)]
+        return _table(answer_out, rows)
 
     def settle(table: pa.Table) -> pa.Table:
         rows = _answers(table)
@@ -261,36 +297,50 @@ def repeats(docs: DataFrame, window: int = 50, shard_bytes: int = SHARD_BYTES, p
     final = T.StructType([dealt.schema["doc"], T.StructField("cut", T.StructType.fromDDL(result))])
     cut_type = arrow_schema(final).field("cut").type
 
+    def marked(shard: Shard, answers: pa.Table) -> np.ndarray:
+        """Whether each window of the shard also starts in a document of smaller id."""
+        first, owner = shard.windows()
+        others = gathered(answers, window_parts)
+        again = np.zeros(len(first), bool)
+        for here in window_parts.slices(first):
+            keys, docs_of = first[here], owner[here]
+            best = np.minimum(lookup(keys, *least(keys, docs_of)[:2]), lookup(window_parts.short(keys), *others))
+            again[here] = best < docs_of
+        return again
+
     def remove(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.table({"doc": table.column("doc"), "cut": pa.array([], cut_type)})
-        shard = shard_of(table)
-        first, owner = shard.windows()
-        distinct, low, _ = least(first, owner)
-        best = np.minimum(lookup(first, distinct, low), lookup(window_parts.short(first), *gathered(answers, window_parts)))
-        again = best < owner
+        shard = Shard(table.column("doc"), window)
+        sizes_of = shard.sizes(window).tolist()
+        again = marked(shard, answers)
+        del shard.hashes
         spans: dict[int, np.ndarray] = {}
         start = 0
-        for i, hashes in zip(shard.long, shard.hashes):
-            n = len(hashes) - window + 1
-            marked = np.flatnonzero(again[start : start + n])
+        for i, n in zip(shard.long, sizes_of):
+            found = np.flatnonzero(again[start : start + n])
             start += n
-            if len(marked):
-                gap = np.flatnonzero(np.diff(marked) > window)
-                spans[i] = np.c_[marked[np.r_[0, gap + 1]], marked[np.r_[gap, len(marked) - 1]] + window]
-        cuts = []
-        for i, tokens in enumerate(shard.tokens):
+            if len(found):
+                gap = np.flatnonzero(np.diff(found) > window)
+                spans[i] = np.c_[found[np.r_[0, gap + 1]], found[np.r_[gap, len(found) - 1]] + window]
+        chunks, cuts, held = [], [], 0
+        for i, tokens in enumerate(words_of(table.column("doc"))):
             gone = spans.get(i, np.zeros((0, 2), np.int64))
             kept, at = [], 0
             for a, b in gone.tolist():
                 kept += tokens[at:a]
                 at = b
             kept += tokens[at:]
+            text = b" ".join(kept)
             cuts.append({
-                "n_words": len(tokens), "n_removed": len(tokens) - len(kept), "kept": b" ".join(kept).decode("utf-8", "surrogatepass"),
+                "n_words": len(tokens), "n_removed": len(tokens) - len(kept), "kept": text.decode("utf-8", "surrogatepass"),
                 "spans": [{"first": a, "after": b} for a, b in gone.tolist()],
             })
-        return pa.table({"doc": table.column("doc"), "cut": pa.array(cuts, cut_type)})
+            held += len(text)
+            if held > KEPT_BYTES:
+                chunks.append(pa.array(cuts, cut_type))
+                cuts, held = [], 0
+        return pa.table({"doc": table.column("doc"), "cut": pa.chunked_array([*chunks, pa.array(cuts, cut_type)], cut_type)})
 
     by_shard = dealt.groupBy("shard")
     probes = by_shard.applyInArrow(probe, probe_schema)
@@ -307,11 +357,14 @@ def _with(parts: Parts, keys: np.ndarray, docs: np.ndarray):
         yield part, raw, _ids(docs[here])
 
 
-def _near(hit: np.ndarray, position: np.ndarray, reach: int) -> np.ndarray:
+def _near(hit: np.ndarray, sizes: np.ndarray, reach: int) -> np.ndarray:
     """For each window, whether one of the blocks inside it is a hit. Blocks are listed document by
     document; a document of n blocks has n - reach windows."""
-    total = np.r_[0, np.cumsum(hit)]
-    starts = np.flatnonzero(position == 0)
-    sizes = np.diff(np.r_[starts, len(position)])
-    window = np.concatenate([np.zeros(0, np.int64), *(np.arange(s, s + n - reach) for s, n in zip(starts, sizes))])
-    return total[window + reach + 1] > total[window]
+    total = np.zeros(len(hit) + 1, np.int64)
+    np.cumsum(hit, out=total[1:])
+    near = [np.zeros(0, bool)]
+    start = 0
+    for n in sizes.tolist():
+        near.append(total[start + reach + 1 : start + n + 1] > total[start : start + n - reach])
+        start += n
+    return np.concatenate(near)

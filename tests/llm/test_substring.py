@@ -1,8 +1,13 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
+from pyspark.sql import GroupedData
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
 from lapsewise.llm import substring
 
@@ -80,3 +85,38 @@ def test_op4_query(spark, folder, rows_of):
     assert result == sorted(
         (i, n, gone, hashlib.sha256(kept.encode()).hexdigest()) for i, n, gone, kept in plain(rows_of, 50)
     )
+
+
+def test_a_shard_is_never_held_as_words_nor_sorted_at_once(spark, monkeypatch):
+    steps = {}
+    for ops in (GroupedData, PandasCogroupedOps):
+
+        def recorded(self, func, schema, plain=ops.applyInArrow):
+            steps[func.__name__] = func
+            return plain(self, func, schema)
+
+        monkeypatch.setattr(ops, "applyInArrow", recorded)
+    rng = random.Random(3)
+    rows = [(i, " ".join(f"w{rng.randrange(50_000)}" for _ in range(500))) for i in range(400)]
+    rows += [(1000 + i, rows[i][1]) for i in range(40)]
+    substring.repeats(spark.createDataFrame(rows, "doc_id long, text string"), window=50, part_hashes=10_000)
+    shard = pa.table({"doc": pa.array([{"doc_id": i, "text": t} for i, t in rows]), "shard": pa.array([0] * len(rows), pa.int32())})
+    peaks = {}
+
+    def peak(name, *tables):
+        tracemalloc.start()
+        result = steps[name](*tables)
+        peaks[name] = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return result
+
+    def by_part(name, table):
+        return pa.concat_tables([steps[name](table.filter(pc.equal(table["part"], p))) for p in pc.unique(table["part"])])
+
+    hits = by_part("match", peak("probe", shard))
+    done = peak("remove", shard, by_part("settle", peak("extend", shard, hits)))
+    assert {c["n_removed"] for c in done["cut"].to_pylist()[:400]} == {0}
+    # the smaller id of a pair lies in this shard too, so all of a copy goes
+    assert [c["n_removed"] for c in done["cut"].to_pylist()[400:]] == [500] * 40
+    n_words = 500 * len(rows)
+    assert {name: bytes_used for name, bytes_used in peaks.items() if bytes_used > 60 * n_words} == {}
