@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lapsewise.llm.common import arrow_schema, blocks, id_and_text, shuffle_tasks, stored
+from lapsewise.llm.common import arrow_schema, blocks, id_and_text, released, shuffle_tasks, stored
 from lapsewise.llm.units import UnitEncoder
 
 WINDOW = 1024
@@ -186,7 +186,7 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, piece: int = P
                 columns = [pa.array(x, pa.int64()) for x in (starts, lengths, sums, totals)]
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(row, pa.int64())), *columns], schema=out)
 
-    return id_and_text(docs).mapInArrow(run, schema)
+    return id_and_text(docs).mapInArrow(released(run), schema)
 
 
 def packed(

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapsewise.llm.common import arrow_schema, blocks, map_texts, unpacked, with_found
+from lapsewise.llm.common import arrow_schema, blocks, map_texts, released, unpacked, with_found
 
 BUCKETS, DIMENSIONS, FILTERS, WIDTHS = 1 << 16, 16, 16, (1, 2, 3)
 CUT = 0.3
@@ -96,12 +96,12 @@ class Model:
 
 
 class Scorer:
-    """Logits of hashed texts by a model: all filters at all places in one product, then sums of
+    """Logits of hashed texts by a model: the filters of a width at all places in one product, then sums of
     neighbouring rows, then the greatest row of each text."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.flat = np.concatenate([f.transpose(1, 0, 2).reshape(DIMENSIONS, -1) for f in model.filters.values()], axis=1)
+        self.flat = [np.ascontiguousarray(f.transpose(1, 0, 2).reshape(DIMENSIONS, -1)) for f in model.filters.values()]
 
     def pooled(self, texts: list[np.ndarray]) -> np.ndarray:
         """(texts, widths x FILTERS): the greatest responses of each text."""
@@ -109,16 +109,16 @@ class Scorer:
         vectors = self.model.embedding[words[:, 0]]
         for part in range(1, PARTS):
             vectors += self.model.embedding[words[:, part]]
-        responses = vectors @ self.flat
         ends = np.r_[starts[1:], len(words)] - (GAP - 1)
-        found, column = np.empty((len(texts), len(WIDTHS) * FILTERS), np.float32), 0
+        found = np.empty((len(texts), len(WIDTHS) * FILTERS), np.float32)
         for n, width in enumerate(self.model.filters):
-            response = responses[:, column : column + FILTERS]
+            responses = vectors @ self.flat[n]
+            response = responses[:, :FILTERS]
             for j in range(1, width):
-                response[:-j] += responses[j:, column + j * FILTERS : column + (j + 1) * FILTERS]
-            column += width * FILTERS
+                response[:-j] += responses[j:, j * FILTERS : (j + 1) * FILTERS]
             for row, (s, e) in enumerate(zip(starts.tolist(), ends.tolist())):
                 found[row, n * FILTERS : (n + 1) * FILTERS] = response[s:e].max(axis=0)
+            del response, responses  # before the next width's
         return found
 
     def _of(self, pooled: np.ndarray) -> np.ndarray:
@@ -275,7 +275,7 @@ def binned(docs: DataFrame, marks: DataFrame, model: Model, learned: list[int])
 
     own = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang")).alias("doc")
     texts = docs.filter("text is not null and doc_id is not null").select(own, F.col("text").cast("string").alias("text"))
-    found = texts.mapInArrow(run, schema).groupBy("doc.doc_id").agg(F.min(F.struct("bin", "doc.lang")).alias("row"))
+    found = texts.mapInArrow(released(run), schema).groupBy("doc.doc_id").agg(F.min(F.struct("bin", "doc.lang")).alias("row"))
     fitted = spark.createDataFrame([(i, True) for i in learned], "doc_id long, fitted boolean")
     rows = found.join(marks, "doc_id").join(F.broadcast(fitted), "doc_id", "left")
     return rows.groupBy(F.coalesce("fitted", F.lit(False)).alias("fitted"), "row.lang", "row.bin", "toxic").agg(F.count("*").alias("n")).toPandas()

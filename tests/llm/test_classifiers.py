@@ -1,9 +1,12 @@
+import tracemalloc
+from types import SimpleNamespace
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from lapsewise.llm import language, toxicity
+from lapsewise.llm import common, language, toxicity
 
 LANGUAGES = {
     "en": ["the", "and", "of", "house", "river", "with", "under", "morning", "which", "something"],
@@ -192,3 +195,28 @@ def test_queries_on_small_and_empty_tables(spark, folder):
         assert set(query(spark, f"{folder}/full").columns) == columns
         assert query(spark, f"{folder}/full").count() == spark.read.parquet(f"{folder}/full/documents.parquet").count()
         assert query(spark, f"{folder}/empty").count() == 0
+
+
+def test_a_scorer_holds_the_responses_of_one_width():
+    rng = np.random.default_rng(5)
+    filters = {w: rng.normal(0, 1, (w, toxicity.DIMENSIONS, toxicity.FILTERS)).astype(np.float32) for w in toxicity.WIDTHS}
+    wide = len(filters) * toxicity.FILTERS
+    embedding = rng.normal(0, 1, (toxicity.BUCKETS + 1, toxicity.DIMENSIONS)).astype(np.float32)
+    scorer = toxicity.Scorer(toxicity.Model(embedding, filters, np.zeros(wide, np.float32), np.ones(wide, np.float32), 0.0))
+    texts = [rng.integers(0, toxicity.BUCKETS, (500, toxicity.PARTS), dtype=np.int32) for _ in range(40)]
+    tracemalloc.start()
+    found = scorer.pooled(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 350 * 500 * 40
+    vectors = np.concatenate([embedding[texts[7]].sum(axis=1), np.zeros((toxicity.GAP, toxicity.DIMENSIONS), np.float32) + embedding[-1] * toxicity.PARTS])
+    for n, (w, f) in enumerate(filters.items()):
+        greatest = np.max([np.einsum("jd,jdf->f", vectors[i : i + w], f) for i in range(501)], axis=0)
+        assert np.allclose(found[7, n * toxicity.FILTERS : (n + 1) * toxicity.FILTERS], greatest, atol=1e-3)
+
+
+def test_a_task_gives_back_what_arrow_holds_free(monkeypatch):
+    seen = []
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: SimpleNamespace(release_unused=lambda: seen.append("released")))
+    batches = common.released(lambda rows: (seen.append(row) or row for row in rows))(iter([1, 2]))
+    assert (list(batches), seen) == ([1, 2], [1, 2, "released"])
