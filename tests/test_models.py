@@ -1,5 +1,10 @@
 import itertools
 import math
+import os
+import subprocess
+import sys
+import tracemalloc
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -244,6 +249,23 @@ def test_contributions_of_many_rows_are_looked_up_by_their_outcomes(table, fores
     assert max(widths) <= 2**4 and np.abs(alone).max() > 0
 
 
+def test_a_forest_is_read_one_tree_at_a_time(spark, table, forest):
+    """Nodes as objects take some 2 kB each: only those of one tree may be there at once."""
+    rows = table.crossJoin(spark.range(40)).withColumn(S.LABEL, (F.rand(99) < 0.5).cast("int"))
+    rows = rows.select("policy_num", S.LABEL, *[(F.rand(i) * 9).alias(c) for i, c in enumerate(S.BEHAVIOUR_FEATURES)], *S.CATEGORICAL_FEATURES)
+    fitted = models.fit_classifier(rows, models.random_forest(n_trees=40))
+    n_nodes = sum(tree.numNodes for tree in fitted.stages[-1].trees)
+    list(attribution.forest_leaves(forest, spark))  # so that only the forest counts
+    tracemalloc.start()
+    try:
+        leaves = [g for group in attribution.forest_leaves(fitted, spark) for g in group]
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(len(g.value) for g in leaves) == (n_nodes + 40) // 2 and n_nodes > 4000
+    assert most < 1000 * n_nodes
+
+
 def expected_output(nodes, row, known, at=0):
     """Mean leaf value when only the ``known`` features are followed."""
     node = nodes[at]
@@ -336,6 +358,55 @@ def test_clean_and_risky_policies_form_pure_clusters(spark):
     assert len(clusters["0"]) == len(clusters["1"]) == 1 and clusters["0"] != clusters["1"]
 
 
+def even_behaviours(spark, n_rows):
+    columns = [((F.col("id") * p % 9973) / 9973 + F.col("id") % 7).alias(c) for p, c in zip((31, 37, 41, 43, 47, 53, 59, 61), S.BEHAVIOUR_FEATURES)]
+    return spark.range(n_rows).select(F.col("id").cast("string").alias("policy_num"), *columns)
+
+
+@pytest.mark.parametrize("repeated", [0, 900, 3000])
+def test_the_rows_of_the_smallest_hashes_are_drawn(spark, repeated):
+    numbers = F.when(F.col("id") < repeated, 0).otherwise(F.col("id")).cast("double")
+    rows = spark.range(3000).select(F.array(numbers, numbers * 2).alias("z")).withColumn("hash", F.xxhash64("z")).repartition(5)
+    plain = sorted((r["hash"], r["z"]) for r in rows.collect())[:100]
+    assert segments.drawn_rows(rows, 3000, 100).tolist() == [z for _, z in plain]
+    assert segments.drawn_rows(rows, 3000, 5000).shape == (3000, 2)
+
+
+def test_the_same_rows_are_drawn_however_they_lie(spark, monkeypatch):
+    """The scaler's sums differ in their last digits with the parts they come from; the draw may not."""
+    samples, parts, whole = [], [], segments.best_centres
+
+    def kept(vectors, sample, *rest):
+        samples.append(sample)
+        parts.append(vectors.rdd.getNumPartitions())
+        return whole(vectors, sample, *rest)
+
+    monkeypatch.setattr(segments, "best_centres", kept)
+    for n in (2, 9, 23):
+        segments.fit_segments(even_behaviours(spark, 2000).repartition(n, "policy_num"), most_steps=1, starts=1)
+    assert all(np.allclose(s, samples[0], rtol=0, atol=1e-9) for s in samples)
+    # a pass has no more tasks than the cores are worth
+    assert max(parts) <= spark.sparkContext.defaultParallelism
+
+
+_SMALL_RESULTS = """
+from pyspark.sql import SparkSession
+from lapsewise.operators import segments
+from tests.test_models import even_behaviours
+
+conf = {"spark.master": "local[2]", "spark.ui.enabled": "false", "spark.driver.maxResultSize": "2m", "spark.sql.shuffle.partitions": "2"}
+spark = SparkSession.builder.config(map=conf).getOrCreate()
+segments.fit_segments(even_behaviours(spark, 40_000).repartition(16), most_steps=1, starts=1)
+"""
+
+
+def test_the_driver_gets_the_drawn_rows_only(tmp_path):
+    """40,000 rows in 16 parts: each part's smallest hashes together would be 4 MB."""
+    env = {**os.environ, "PYTHONPATH": str(Path(__file__).resolve().parents[1])}
+    run = subprocess.run([sys.executable, "-c", _SMALL_RESULTS], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert run.returncode == 0, run.stderr[-2000:]
+
+
 def test_clusters_are_named_by_severity(spark):
     rows = [(0, 0.9), (0, 0.8), (1, 0.0), (1, 0.1), (2, 0.4)]
     df = spark.createDataFrame(rows, "cluster int, failed_invoice_ratio double")
